@@ -29,7 +29,11 @@ NOFC_MAX = 79
 TEAM_MARK = "%CSO%"
 EXCLUDED_CYCLE = "ES"
 
-EXT = F.col("external_id_vod__c")
+EXT = "external_id_vod__c"
+
+
+def _ext(ext):
+    return F.col(ext) if isinstance(ext, str) else ext
 
 
 def plan_year(ext=EXT):
@@ -43,7 +47,7 @@ def plan_territory(ext=EXT):
 def plan_team(ext=EXT):
     """First 14 characters of the territory for PLUS plans, else 9."""
     terr = plan_territory(ext)
-    return F.when(ext.like("%PLUS%"), left(terr, 14)).otherwise(left(terr, 9))
+    return F.when(_ext(ext).like("%PLUS%"), left(terr, 14)).otherwise(left(terr, 9))
 
 
 def plan_cycle(ext=EXT):

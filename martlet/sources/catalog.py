@@ -47,6 +47,14 @@ class Catalog:
     def ref(self, model: str) -> DataFrame:
         return self.table(model)
 
+    def with_filter(self, name: str, condition) -> "Catalog":
+        """A copy in which table ``name`` only shows rows matching ``condition``
+        (e.g. the source as it was at an earlier time)."""
+        tables = dict(self._tables)
+        base = tables[name]
+        tables[name] = lambda: base().where(condition)
+        return Catalog(self.spark, tables)
+
     def names(self) -> list[str]:
         return sorted(self._tables)
 
