@@ -91,22 +91,35 @@ def with_partition_column(df: DataFrame, layout: Layout) -> DataFrame:
     return df.withColumn(col, partition_value(layout))
 
 
+def _spread(df: DataFrame) -> Column:
+    """Deterministic tie-breaker for range keys: a value that holds a large share
+    of the rows (one hot day, one hot customer) still spreads over several
+    tasks, and a retried task sees the same split."""
+    return F.xxhash64(*[F.col(c) for c in df.columns])
+
+
 def arrange(df: DataFrame, layout: Layout) -> DataFrame:
-    """Apply distribution and in-task sort of ``layout``."""
+    """Apply distribution and in-task sort of ``layout``.
+
+    Range keys start with the partition column, so each task writes a
+    contiguous run of partitions (about one file per partition and task
+    instead of one per partition per input split). The task count is
+    ``num_parts`` or the session's shuffle partition count.
+    """
     n = layout.num_parts or shuffle_partitions(df.sparkSession)
     part = [layout.partition_column] if layout.partition_column else []
     if layout.cluster_by:
         keys = part + list(layout.cluster_by)
-        return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    if layout.distribute_by:
+    elif layout.distribute_by:
         keys = part + [layout.distribute_by] + list(layout.sort_by)
-        return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    if layout.even:
+    elif layout.even:
         return df.repartition(n).sortWithinPartitions(*(part + list(layout.sort_by)))
-    if part:
-        # One writer per partition value per task: sort by the partition column.
-        return df.sortWithinPartitions(*part)
-    return df
+    elif part:
+        keys = part
+    else:
+        return df
+    range_keys = [F.col(k) for k in keys] + [_spread(df)]
+    return df.repartitionByRange(n, *range_keys).sortWithinPartitions(*keys)
 
 
 def choose_layout(df: DataFrame, if_column: str, layout: Layout, otherwise: Layout | None = None) -> Layout:
