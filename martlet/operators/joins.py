@@ -57,6 +57,22 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
 
 
+# Largest dimension slice broadcast after an explicit row count (rows, not bytes:
+# the slices broadcast here are a few short strings per row).
+BROADCAST_MAX_ROWS = 200_000
+
+
+def broadcast_if_small(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``small`` only when a count proves it under ``max_rows``.
+
+    Used for per-user or per-run slices of small control tables: the count is
+    a cheap job over that slice, and beyond the bound the caller's join
+    falls back to a shuffle join (which AQE may still convert at run time).
+    """
+    n = small.count()
+    return F.broadcast(small) if n <= max_rows else small
+
+
 def country_grants(auth: DataFrame, user: Column | str) -> DataFrame:
     """Grants of one user as (opu, n_rows); '' means every country, NULL matches nothing."""
     u = F.lit(user) if isinstance(user, str) else user
@@ -73,15 +89,16 @@ def rls_weight(facts: DataFrame, auth: DataFrame, user: Column | str,
     CASE WHEN length(opu)=0 THEN 'X' ELSE opu END``: a row survives once per
     matching grant. That count is ``n_all + n(cntry_cd)`` where ``n_all`` is
     the user's number of '' grants and ``n(c)`` the grants naming country c.
-    Both come from grouped grant rows, so the fact side needs one equi-join
-    on the country (AQE picks broadcast from the measured size); ``n_all`` is a
+    Both come from grouped grant rows (at most one per country), so the fact
+    side needs one equi-join on the country: broadcast after a row count, so
+    the facts are never shuffled by a three-valued key; ``n_all`` is a
     scalar subquery. No cross join, no nested-loop join. Rows with weight 0 are dropped.
     """
     grants = country_grants(auth, user)
     n_all = grants.where(F.length("opu") == 0).agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("_n_all")).scalar()
-    named = (grants.where(F.length("opu") > 0)
-                   .select(F.col("opu").alias("_opu"), F.col("n_rows").alias("_n_named")))
+    named = broadcast_if_small(grants.where(F.length("opu") > 0)
+                               .select(F.col("opu").alias("_opu"), F.col("n_rows").alias("_n_named")))
     w = (n_all + F.coalesce(F.col("_n_named"), F.lit(0))).cast("long")
     return (facts.join(named, F.col(country_col) == F.col("_opu"), "left")
                  .withColumn(weight_col, w)
