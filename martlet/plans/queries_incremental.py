@@ -266,7 +266,7 @@ def _b17(cat: Catalog) -> DataFrame:
 def _round_trip(cat: Catalog, name: str, df: DataFrame, layout: Layout) -> DataFrame:
     root = scratch_path(cat.spark, name)
     full_refresh(df, root, layout)
-    out = read_table(cat.spark, root)
+    out = read_table(cat.spark, root, schema=df.schema)
     return out.select(*df.columns)
 
 

@@ -206,8 +206,15 @@ def full_refresh(df: DataFrame, root: str, layout: Layout = Layout()) -> str:
     return path
 
 
-def read_table(spark: SparkSession, root: str) -> DataFrame:
+def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame:
+    """Newest committed version of the table at ``root``.
+
+    A partitioned write of zero rows leaves no files, only the commit marker;
+    such a version reads as an empty DataFrame of ``schema`` when given.
+    """
     path = current_version_path(spark, root)
     if path is None:
         raise FileNotFoundError(f"no committed version under {root}")
+    if schema is not None and not has_data_files(spark, path):
+        return spark.createDataFrame([], schema)
     return spark.read.parquet(path)
