@@ -55,6 +55,12 @@ class Catalog:
         tables[name] = lambda: base().where(condition)
         return Catalog(self.spark, tables)
 
+    def with_table(self, name: str, df: DataFrame) -> "Catalog":
+        """A copy in which ``name`` is the given DataFrame (e.g. one micro-batch)."""
+        tables = dict(self._tables)
+        tables[name] = lambda: df
+        return Catalog(self.spark, tables)
+
     def names(self) -> list[str]:
         return sorted(self._tables)
 
