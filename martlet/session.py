@@ -27,10 +27,30 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Selective joins (recent orders, high-value customers, changed keys) build
+    # a runtime Bloom filter that prunes the big side before its shuffle; the
+    # filter itself is capped by maxNumBits, so a large creation side is safe.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
+# The subset of DEFAULT_CONF that can be set on a running session.
+RUNTIME_SQL_CONF = {k: v for k, v in DEFAULT_CONF.items()
+                    if k.startswith("spark.sql.") and k != "spark.sql.files.maxPartitionBytes"}
+
+def apply_sql_defaults(spark: SparkSession) -> None:
+    """Set the package's SQL settings on a session where they are not set.
+
+    Settings the session (or cluster) already carries are left alone; the
+    session time zone is the exception only when unset - results are defined
+    in UTC.
+    """
+    for k, v in RUNTIME_SQL_CONF.items():
+        if spark.conf.get(k, None) is None:   # None: not set by anyone
+            spark.conf.set(k, v)
+
 
 def build_session(master: str | None = None, app_name: str = "martlet",
                   shuffle_partitions: int | None = None,
