@@ -533,3 +533,11 @@ GROUP BY main.cntry_cd""")(
 register("i27_inline_array_of_structs", ITEM_TYPE_COUNTS_SQL)(lambda cat: _h04(cat))
 
 _unused = (Window, X.concat_text)
+
+# ============================================================== A1, A2: table resolution
+register("a01_scan_qualified_name", "SELECT order_id, customer_id, order_total, ordered_at FROM fct_orders")(
+    lambda cat: cat.table("`analytics-prod`.sales.fct_orders"))
+register("a02_source_and_ref", """
+SELECT o.order_id, c.name FROM fct_orders o JOIN dim_customers c ON o.customer_id = c.customer_id""")(
+    lambda cat: cat.source("sales", "fct_orders").select("order_id", "customer_id")
+    .join(cat.ref("dim_customers"), "customer_id").select("order_id", "name"))
