@@ -20,7 +20,7 @@ from martlet.functions.dates import day_of, days_ago, month_label, month_start
 from martlet.operators.aggregates import count_when
 from martlet.operators.joins import lookup, semi, strict_lookup
 from martlet.operators.ranking import rank_within
-from martlet.operators.setops import union_all, union_distinct, unpivot_measures
+from martlet.operators.setops import union_distinct, unpivot_measures
 from martlet.plans.params import Params, resolve_as_of
 from martlet.sources.catalog import Catalog
 

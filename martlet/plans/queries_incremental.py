@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.operators.incremental import (
-    after_per_key_mark, dedupe_latest, high_water_mark, mark_condition, per_key_marks)
+    after_per_key_mark, high_water_mark, mark_condition, per_key_marks)
 from martlet.plans import incremental_models as IM
 from martlet.plans import orders as M
 from martlet.plans.params import Params, resolve_as_of
@@ -24,7 +24,7 @@ from martlet.plans.queries_models import ORDERS_WITH_CUSTOMER_SQL
 from martlet.plans.registry import register
 from martlet.session import scratch_path
 from martlet.sources.catalog import Catalog
-from martlet.sources.sinks import Layout, choose_layout, full_refresh, read_table, write_parquet
+from martlet.sources.sinks import Layout, choose_layout, full_refresh, read_table
 from martlet.sources.target import IncrementalConfig, Target
 
 P = Params()
@@ -345,13 +345,6 @@ def _a12(cat: Catalog) -> DataFrame:
     return _round_trip(cat, "a12", df, layout)
 
 
-def write_model(df: DataFrame, path: str, layout: Layout) -> None:
-    """Convenience re-export for callers materialising a model once."""
-    write_parquet(df, path, layout)
-
-
-_unused = dedupe_latest  # re-exported for tests
-
 
 # ------------------------------------------------------------------ streaming form of J15
 @register("j15_orders_with_customer_streaming", ORDERS_WITH_CUSTOMER_SQL)
