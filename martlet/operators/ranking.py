@@ -13,9 +13,9 @@ parallelism at most. Here the ranking runs as a range-partitioned scan:
    enough to compute the offset of every part. The summary has exactly ``n``
    rows - a proven bound - and is broadcast.
 
-The locally ranked parts are checkpointed (reliable, in the cluster's
-checkpoint folder) because two branches read them and must agree on which
-row sits in which part.
+The locally ranked parts are written once to the cluster's shared checkpoint
+folder because two branches read them and must agree on which row sits in
+which part.
 
 The result equals SQL ``RANK()`` (ties share a rank, gaps follow).
 """
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.session import shuffle_partitions
+from martlet.session import scratch_path, shuffle_partitions
 
 _PID = "_mrt_pid"
 _LRANK = "_mrt_lrank"
@@ -96,10 +96,13 @@ def rank_within(df: DataFrame, keys: list[str], value: str, out: str = "rank",
                .sortWithinPartitions(*sort_cols)
                .withColumn(_PID, F.spark_partition_id()))
     out_schema = T.StructType(parts.schema.fields + [T.StructField(_LRANK, T.LongType(), False)])
-    # The ranked parts are read twice below (rows and per-part summary). A
-    # reliable checkpoint in the shared checkpoint folder pins the part ids:
-    # a recomputed range shuffle could otherwise draw other bounds.
-    local = parts.mapInPandas(_local_rank_fn(keys, value), out_schema).checkpoint(eager=True)
+    # The ranked parts are read twice below (rows and per-part summary). They
+    # are written once to the shared checkpoint folder, which pins the part
+    # ids (a recomputed range shuffle could draw other bounds) and cuts the
+    # lineage; being Parquet, the summary reads only the id and key columns.
+    staged = scratch_path(spark, "rank")
+    parts.mapInPandas(_local_rank_fn(keys, value), out_schema).write.mode("overwrite").parquet(staged)
+    local = spark.read.parquet(staged)
 
     key = F.struct(*[F.col(k) for k in keys])
     per_part_key = local.groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias("_n"))
