@@ -197,12 +197,18 @@ def current_version_path(spark: SparkSession, root: str) -> str | None:
     return version_path(root, vs[-1]) if vs else None
 
 
-def full_refresh(df: DataFrame, root: str, layout: Layout = Layout()) -> str:
-    """A3: materialise ``df`` as the next version of the table at ``root``."""
+def full_refresh(df: DataFrame, root: str, layout: Layout = Layout(), retain: int = 2) -> str:
+    """A3: materialise ``df`` as the next version of the table at ``root``.
+
+    After the commit, versions older than the newest ``retain`` are removed
+    (the previous one stays for readers that started before the commit).
+    """
     spark = df.sparkSession
     vs = committed_versions(spark, root)
     path = version_path(root, (vs[-1] + 1) if vs else 1)
     write_parquet(df, path, layout, mode="overwrite")
+    for old in committed_versions(spark, root)[:-retain]:
+        delete_path(spark, version_path(root, old))
     return path
 
 

@@ -37,6 +37,10 @@ class IncrementalConfig:
     strategy: str = "merge"             # merge | delete+insert | insert_overwrite | append
     on_schema_change: str = "ignore"    # ignore | fail | append_new_columns | sync_all_columns
     dedupe_by: tuple[str, ...] = ()     # B17: keep the latest row per key inside a batch
+    # False when a key can never change partition (e.g. an order's creation
+    # day): merges then only read the batch's partitions of the target instead
+    # of scanning every key of it.
+    keys_move_partitions: bool = True
 
 
 class Target:
@@ -111,8 +115,11 @@ class Target:
         # Partitions to rebuild: those of the batch, and those where an existing
         # row carries a batch key (a key that moved partition). Only partition
         # values reach the driver - a metadata-sized list.
-        hit = existing.join(batch.select(*keys).distinct(), keys, "left_semi").select(pcol)
-        touched = [r[0] for r in batch.select(pcol).union(hit).distinct().collect()]
+        touched_df = batch.select(pcol)
+        if cfg.keys_move_partitions:
+            hit = existing.join(batch.select(*keys).distinct(), keys, "left_semi").select(pcol)
+            touched_df = touched_df.union(hit)
+        touched = [r[0] for r in touched_df.distinct().collect()]
         values = [v for v in touched if v is not None]
         cond = F.col(pcol).isin(values) if values else F.lit(False)
         if len(values) != len(touched):
@@ -136,3 +143,4 @@ class Target:
             for value in touched:
                 if value not in kept:
                     delete_path(self.spark, f"{self.path}/{pcol}={partition_dir_value(value)}")
+        delete_path(self.spark, staged)   # swapped in; the staging copy is no longer read

@@ -107,3 +107,19 @@ def test_target_empty_first_load(spark):
     assert t.exists() and t.read() is None
     t.apply(_df(spark, [(1, 1.0, ts(1))]))
     assert _rows(t) == [(1, 1.0, ts(1))]
+
+
+def test_full_refresh_versions_and_retention(spark):
+    from martlet.sources.sinks import committed_versions, full_refresh, read_table
+    root = scratch_path(spark, "t-versions")
+    for i in range(4):
+        full_refresh(_df(spark, [(i, float(i), ts(1))]), root)
+    assert committed_versions(spark, root) == [3, 4]
+    assert [r.order_id for r in read_table(spark, root).collect()] == [3]
+
+
+def test_merge_restricted_to_batch_partitions(spark):
+    t = Target(spark, scratch_path(spark, "t-fixed"), _cfg(keys_move_partitions=False))
+    t.apply(_df(spark, [(1, 1.0, ts(1)), (2, 2.0, ts(2))]))
+    t.apply(_df(spark, [(2, 2.5, ts(2)), (3, 3.0, ts(3))]))
+    assert _rows(t) == [(1, 1.0, ts(1)), (2, 2.5, ts(2)), (3, 3.0, ts(3))]
