@@ -21,7 +21,7 @@ from martlet.operators.aggregates import count_when
 from martlet.operators.joins import lookup, semi, strict_lookup
 from martlet.operators.ranking import rank_within
 from martlet.operators.setops import union_distinct, unpivot_measures
-from martlet.plans.params import Params, resolve_as_of
+from martlet.plans.params import Params, resolve_as_of, resolve_run_ts
 from martlet.sources.catalog import Catalog
 
 MONEY = 2  # decimals kept for summed prices (inputs are cents)
@@ -203,6 +203,12 @@ def expensive_items_of_high_value_detail(cat: Catalog, params: Params = Params()
         "name", "customer_id", "product_id", "product_price", day_of("ordered_at").alias("order_date"))
 
 
+def expensive_items_of_high_value_loaded(cat: Catalog, params: Params = Params()) -> DataFrame:
+    """J12 (load form): J5 plus customer id and the run's load timestamp."""
+    return _expensive_items_of_high_value(cat, params).select(
+        "name", "customer_id", "product_id", "product_price", resolve_run_ts(params).alias("created_at"))
+
+
 # ---------------------------------------------------------------- J6 / J13 / J14
 def _item_revenue_rows(cat: Catalog) -> DataFrame:
     return (_items(cat).select("order_id", "product_id", "product_price")

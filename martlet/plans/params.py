@@ -19,6 +19,12 @@ class Params:
     spend_min: float = 2_500_000.0        # J5 customer spend threshold (reference literal 500)
     user: str = "analyst"                 # J8 CURRENT_USER
     recent_days: int = 90                 # J3 look-back
+    run_ts: dt.datetime | None = None     # CURRENT_TIMESTAMP() stamped on loaded rows
+
+
+def resolve_run_ts(params: Params):
+    """The load timestamp: the ``run_ts`` parameter, else the session's clock."""
+    return F.lit(params.run_ts).cast("timestamp_ntz") if params.run_ts is not None else F.localtimestamp()
 
 
 def resolve_as_of(cat: Catalog, params: Params) -> dt.date:
