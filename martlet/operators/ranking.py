@@ -110,17 +110,18 @@ def rank_within(df: DataFrame, keys: list[str], value: str, out: str = "rank",
                .agg(F.min(key).alias("_first"), F.max(key).alias("_last"),
                     F.max_by("_n", key).alias("_last_n")))
     # offset of part p = rows of p's first key in earlier parts, which are the
-    # "last key" runs of the parts just before p.
-    contrib = summary.select(F.col("_last").alias("_k"), F.col(_PID), F.lit(1).alias("_is_run"),
-                             F.col("_last_n").alias("_c"))
-    asks = summary.select(F.col("_first").alias("_k"), F.col(_PID), F.lit(0).alias("_is_run"),
-                          F.lit(0).cast("long").alias("_c"))
-    w = (Window.partitionBy("_k").orderBy(F.col(_PID), F.col("_is_run"))
+    # "last key" runs of the parts just before p. Each summary row yields a
+    # contribution (its last key run) and a request (its first key).
+    events = summary.select(F.inline(F.array(
+        F.struct(F.col("_last").alias("_k"), F.col(_PID).alias("_p"), F.lit(1).alias("_is_run"),
+                 F.col("_last_n").alias("_c")),
+        F.struct(F.col("_first").alias("_k"), F.col(_PID).alias("_p"), F.lit(0).alias("_is_run"),
+                 F.lit(0).cast("long").alias("_c")))))
+    w = (Window.partitionBy("_k").orderBy(F.col("_p"), F.col("_is_run"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    offsets = (contrib.unionByName(asks)
-               .withColumn("_off", F.sum("_c").over(w))
+    offsets = (events.withColumn("_off", F.sum("_c").over(w))
                .where(F.col("_is_run") == 0)
-               .select(F.col(_PID), F.col("_k").alias("_first"), F.col("_off")))
+               .select(F.col("_p").alias(_PID), F.col("_k").alias("_first"), F.col("_off")))
 
     # ``offsets`` has exactly one row per part (n rows): safe to broadcast.
     ranked = local.join(F.broadcast(offsets), _PID, "left")
