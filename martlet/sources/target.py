@@ -8,10 +8,12 @@ partitions it touches:
   batch, staged in the shared checkpoint folder, then swapped in with dynamic
   partition overwrite. Untouched partitions are never read or rewritten;
 * ``insert_overwrite`` - every partition present in the batch is replaced by
-  the batch's rows for it;
+  the batch's rows for it (no target files are read, so no second staging);
 * ``append`` - batch rows are added.
 
-Staging first means no job reads and overwrites the same files, and a failed
+The batch itself is materialised once in the shared folder before it is used
+by several jobs, so every job sees the same rows. Staging the rebuilt
+partitions means no job reads and overwrites the same files, and a failed
 job leaves the target as it was (the swap is Spark's job commit).
 """
 
@@ -103,13 +105,22 @@ class Target:
         existing, batch = align_schema(existing, batch, cfg.on_schema_change)
 
         if cfg.strategy == "append":
-            self._writer(batch, "append").parquet(self.path)
+            self._writer(batch, "append").parquet(self.path)   # one job reads the batch once
             return
+        if cfg.strategy not in ("merge", "delete+insert", "insert_overwrite"):
+            raise ValueError(f"unknown strategy {cfg.strategy}")
+
+        # The batch is read by several jobs below (partition list, key probe,
+        # rewrite). Materialise it once so they all see the same rows even if
+        # the source changes meanwhile, and the source is scanned only once.
+        batch_path = scratch_path(self.spark, "batch")
+        batch.write.mode("overwrite").parquet(batch_path)
+        batch = self.spark.read.parquet(batch_path)
+
         if cfg.strategy == "insert_overwrite":
-            self._swap(batch)
+            self._writer(batch, "overwrite").parquet(self.path)
+            delete_path(self.spark, batch_path)
             return
-        if cfg.strategy not in ("merge", "delete+insert"):
-            raise ValueError(f"unknown strategy {cfg.strategy}")
 
         keys = list(cfg.unique_key)
         # Partitions to rebuild: those of the batch, and those where an existing
@@ -126,6 +137,7 @@ class Target:
             cond = cond | F.col(pcol).isNull()
         old = existing.where(cond)
         self._swap(merge_rows(old, batch, keys), touched)
+        delete_path(self.spark, batch_path)
 
     def _swap(self, rows: DataFrame, touched: list | None = None) -> None:
         """Stage ``rows`` in the shared folder, then overwrite their partitions.
