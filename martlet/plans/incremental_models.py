@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.dates import day_of, month_label, month_start
-from martlet.operators.incremental import (
-    high_water_mark, mark_condition, rolling_window_start)
+from martlet.operators.incremental import mark_condition, rolling_window_start
 from martlet.operators.joins import lookup
 from martlet.operators.ranking import rank_within
 from martlet.plans.orders import MONEY
@@ -65,7 +64,7 @@ def refresh_orders_with_customer(cat: Catalog, target: Target, full_refresh: boo
     inc = target.is_incremental(full_refresh)
     orders = cat.table("fct_orders").select("order_id", "customer_id", "order_total", "ordered_at")
     if inc:
-        mark = high_water_mark(target.read(), "ordered_at", mark_default)
+        mark = target.mark("ordered_at", mark_default)
         orders = orders.where(mark_condition("ordered_at", mark, inclusive, lookback_days))
     batch = lookup(orders, cat.table("dim_customers"), "customer_id", {"name": "customer_name"}, "left")
     _run(target, batch.select(*J15_COLUMNS), inc)
@@ -105,7 +104,7 @@ def refresh_monthly_rank(cat: Catalog, target: Target, full_refresh: bool = Fals
     inc = target.is_incremental(full_refresh)
     since = None
     if inc:
-        mark = high_water_mark(target.read(), "order_month_date")
+        mark = target.mark("order_month_date")
         if mark is not None:
             since = dt.date(mark.year, mark.month, 1)
             for _ in range(lookback_months):

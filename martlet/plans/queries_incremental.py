@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.operators.incremental import (
-    after_per_key_mark, high_water_mark, mark_condition, per_key_marks)
+    after_per_key_mark, mark_condition, per_key_marks)
 from martlet.plans import incremental_models as IM
 from martlet.plans import orders as M
 from martlet.plans.params import Params, resolve_as_of
@@ -92,7 +92,7 @@ def _b09(cat: Catalog) -> DataFrame:
     cfg = dataclasses.replace(IM.ORDERS_WITH_CUSTOMER_MONTHLY, strategy="append")
     target = _target(cat, "b09", cfg)
     target.load_full(M.orders_with_customer(_before(cat, T0)))
-    mark = high_water_mark(target.read(), "ordered_at")
+    mark = target.mark("ordered_at")
     target.apply(M.orders_with_customer(cat).where(mark_condition("ordered_at", mark)))
     return target.read().select(*IM.J15_COLUMNS)
 
@@ -115,7 +115,7 @@ def _b18(cat: Catalog) -> DataFrame:
     target = _target(cat, "b18", IM.ORDERS_WITH_CUSTOMER_MONTHLY)
     old = M.orders_with_customer(_before(cat, T0)).withColumn("legacy_flag", F.lit(1))
     target.load_full(old)
-    mark = high_water_mark(target.read(), "ordered_at")
+    mark = target.mark("ordered_at")
     new = (M.orders_with_customer(cat).where(mark_condition("ordered_at", mark))
            .withColumn("order_year", F.year("ordered_at")))
     target.apply(new)
@@ -225,7 +225,7 @@ def _b14(cat: Catalog) -> DataFrame:
     cfg = IncrementalConfig(layout=ITEM_LAYOUT, unique_key=("order_id",), strategy="delete+insert")
     target = _target(cat, "b14", cfg)
     target.load_full(_item_rows(_before(cat, T0)))
-    mark = high_water_mark(target.read(), "ordered_at")
+    mark = target.mark("ordered_at")
     target.apply(_item_rows(cat).where(mark_condition("ordered_at", mark, lookback_days=5)))
     return target.read().select("order_item_id", "order_id", "product_id", "product_price", "ordered_at")
 
@@ -235,7 +235,7 @@ def _b16(cat: Catalog) -> DataFrame:
     cfg = IncrementalConfig(layout=ITEM_LAYOUT, strategy="append")
     target = _target(cat, "b16", cfg)
     target.load_full(_item_rows(_before(cat, T0)))
-    mark = high_water_mark(target.read(), "ordered_at")
+    mark = target.mark("ordered_at")
     target.apply(_item_rows(cat).where(mark_condition("ordered_at", mark)))
     return target.read().select("order_item_id", "order_id", "product_id", "product_price", "ordered_at")
 
@@ -257,7 +257,7 @@ def _b17(cat: Catalog) -> DataFrame:
 
     target = _target(cat, "b17", cfg)
     target.apply(rows(_before(cat, T0)))
-    mark = high_water_mark(target.read(), "ordered_at")
+    mark = target.mark("ordered_at")
     target.apply(rows(cat).where(mark_condition("ordered_at", mark)))
     return target.read().select("product_id", "order_id", "product_price", "ordered_at")
 

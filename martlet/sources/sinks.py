@@ -162,6 +162,23 @@ def partition_dir_value(value) -> str:
     return str(value)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the Hive-style partition directories ``column=value`` directly
+    under ``path`` (as text; the default partition of NULLs is left out)."""
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    prefix = f"{column}="
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            value = name[len(prefix):]
+            if value != "__HIVE_DEFAULT_PARTITION__":
+                out.append(value)
+    return out
+
+
 def has_data_files(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds at least one Parquet file (at any depth)."""
     fs, p, _ = _fs(spark, path)

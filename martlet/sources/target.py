@@ -24,10 +24,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.operators.incremental import align_schema, dedupe_latest, merge_rows
+from martlet.operators.incremental import align_schema, dedupe_latest, high_water_mark, merge_rows
 from martlet.session import scratch_path
 from martlet.sources.sinks import (
-    Layout, arrange, delete_path, has_data_files, partition_dir_value, path_exists, with_partition_column)
+    Layout, arrange, delete_path, has_data_files, partition_dir_value, partition_values, path_exists,
+    with_partition_column)
 
 _PARTITION_TYPES = {"day": "date", "month": "date", "date": "date", "range": "long"}
 
@@ -73,6 +74,28 @@ class Target:
             df = df.withColumn(pcol, F.col(pcol).cast(_PARTITION_TYPES[kind]))
         return df
 
+    def mark(self, column: str, default=None):
+        """B2/B4 high-water mark ``max(column)`` of the target.
+
+        When the target is partitioned by ``column`` itself, or by its day or
+        month, the maximum lies in the newest partition: the partition list
+        (metadata) picks it and only that partition is read. Otherwise the
+        column is aggregated over the whole target.
+        """
+        lay = self.config.layout
+        if not self.exists() or not has_data_files(self.spark, self.path):
+            return default
+        monotone = lay.partition_field == column and lay.partition_kind in ("day", "month", "date", "range")
+        values = partition_values(self.spark, self.path, lay.partition_column) if monotone else []
+        if not values:
+            return high_water_mark(self.read(), column, default)
+        newest = max(values, key=int) if lay.partition_kind == "range" else max(values)
+        part = (self.spark.read.option("basePath", self.path)
+                .parquet(f"{self.path}/{lay.partition_column}={newest}"))
+        if column == lay.partition_column:
+            part = part.withColumn(column, F.col(column).cast(_PARTITION_TYPES[lay.partition_kind]))
+        return high_water_mark(part, column, default)
+
     def is_incremental(self, full_refresh: bool = False) -> bool:
         """B1: ``is_incremental()`` - the target exists and no full refresh is asked."""
         return self.exists() and not full_refresh

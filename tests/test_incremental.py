@@ -123,3 +123,16 @@ def test_merge_restricted_to_batch_partitions(spark):
     t.apply(_df(spark, [(1, 1.0, ts(1)), (2, 2.0, ts(2))]))
     t.apply(_df(spark, [(2, 2.5, ts(2)), (3, 3.0, ts(3))]))
     assert _rows(t) == [(1, 1.0, ts(1)), (2, 2.5, ts(2)), (3, 3.0, ts(3))]
+
+
+def test_mark_reads_only_the_newest_partition(spark):
+    t = Target(spark, scratch_path(spark, "t-mark"), _cfg())
+    assert t.mark("ordered_at") is None
+    assert t.mark("ordered_at", ts(1)) == ts(1)
+    t.apply(_df(spark, [(1, 1.0, ts(1, 5)), (2, 2.0, ts(9, 7)), (3, 3.0, ts(9, 2))]))
+    assert t.mark("ordered_at") == ts(9, 7)
+    assert t.mark("amount") == 3.0                      # not the partition field: full scan
+    monthly = Target(spark, scratch_path(spark, "t-mark-m"),
+                     _cfg(layout=Layout(partition_field="ordered_at", partition_kind="month")))
+    monthly.apply(_df(spark, [(1, 1.0, ts(1)), (2, 2.0, ts(20, 3))]))
+    assert monthly.mark("ordered_at") == ts(20, 3)
