@@ -60,7 +60,11 @@ def plan_year_cycle(ext=EXT):
 
 def sales_call_plan(cat: Catalog, params: Params = Params()) -> DataFrame:
     src = cat.table("stg_mccp_prod_plan")
-    max_loaded = parse_iso_date(src.agg(F.max("modified_date").alias("m")).scalar())
+    # modified_date is ISO text (yyyy-MM-dd), so its maximum is the maximum of
+    # the parsed dates. Aggregating the DATE keeps a fixed-width buffer and a
+    # hash aggregate; max() of a string would sort every input row first.
+    modified = F.try_to_date(F.col("modified_date"), "yyyy-MM-dd")
+    max_loaded = src.agg(F.max(modified).alias("m")).scalar()
 
     in_scope = (F.col("ropu_nm") == COUNTRY) & F.col("channel_vod__c").isin(CHANNELS) \
         & (plan_cycle() != EXCLUDED_CYCLE) & plan_team().like(TEAM_MARK)
@@ -69,7 +73,7 @@ def sales_call_plan(cat: Catalog, params: Params = Params()) -> DataFrame:
 
     agg = (src.where(in_scope)
            .groupBy("external_id_vod__c", "product_name_vod__c")
-           .agg(F.max("modified_date").alias("fechacargaact"),
+           .agg(F.date_format(F.max(modified), "yyyy-MM-dd").alias("fechacargaact"),
                 F.sum("product_activity_goal_vod__c").alias("goal"),
                 F.sum("product_actual_activity_vod__c").alias("product_actual_activity_vod__c"),
                 F.sum("product_interactions_actual_vod__c").alias("product_interactions_actual_vod__c"),
