@@ -48,3 +48,14 @@ def test_rank_keeps_schema(spark):
     got = rank_within(df, ["k"], "v")
     assert got.columns == ["k", "v", "id", "rank"]
     assert dict(got.dtypes)["rank"] == "int"
+
+
+def test_huge_tie_group_spreads_and_ranks_right(spark):
+    # a third of the rows share one (key, value): they must span several parts
+    rows = [("m", 5.0 if i % 3 == 0 else float(i % 11), i) for i in range(6000)]
+    rows += [("n", None, i) for i in range(6000, 6100)] + [("n", 1.0, 7000)]
+    df = spark.createDataFrame(rows, "k string, v double, id long")
+    got = rank_within(df, ["k"], "v", "rank", num_partitions=9)
+    assert _same(got, _expected(df, ["k"], "v"))
+    asc = rank_within(df, ["k"], "v", "rank", descending=False, num_partitions=9)
+    assert _same(asc, _expected(df, ["k"], "v", descending=False))
