@@ -73,3 +73,21 @@ def test_broadcast_if_small_falls_back(spark):
 
 def test_pyspark_exception_type_importable():
     assert PySparkException is not None
+
+
+def test_skew_split_lookup_equals_plain_lookup(spark):
+    # customer 1 holds a third of the facts; customer 99 is unknown; some keys are NULL
+    facts = spark.range(3000).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 50 == 1, F.lit(None))
+         .when(F.col("id") % 7 == 0, F.lit(99)).otherwise(F.col("id") % 40 + 2).alias("customer_id"))
+    dim = spark.range(0, 45).select(F.col("id").alias("customer_id"),
+                                    F.concat(F.lit("c"), F.col("id").cast("string")).alias("name"))
+    dim = dim.unionByName(dim.where("customer_id = 5"))          # a duplicated key fans out in both
+    assert 1 in J.hot_keys(facts, "customer_id", 0.2)
+    for how in ("left", "inner"):
+        a = J.skew_split_lookup(facts, dim, "customer_id", {"name": "n"}, how, support=0.2)
+        b = J.lookup(facts, dim, "customer_id", {"name": "n"}, how)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        plan = a._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
