@@ -191,9 +191,11 @@ def _expensive_items_of_high_value(cat: Catalog, params: Params) -> DataFrame:
     items = (_items(cat).where(F.col("product_price") > params.price_min)
              .select("order_id", "product_id", "product_price"))
     rows = items.join(_orders(cat).select("order_id", "customer_id", "ordered_at"), "order_id")
-    # The semi-join and the name join share the customer_id partitioning.
     rows = semi(rows, high_value_customers(cat, params), "customer_id")
-    return rows.join(_customers(cat).select("customer_id", "name"), "customer_id")
+    # A customer holding a large share of the items joins through a broadcast
+    # of its own row; the rest share the customer_id partitioning.
+    return skew_split_lookup(rows, _customers(cat), "customer_id", {"name": "name"}, "inner",
+                             support=HOT_KEY_SUPPORT)
 
 
 def expensive_items_of_high_value(cat: Catalog, params: Params = Params()) -> DataFrame:
