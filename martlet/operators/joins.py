@@ -37,17 +37,22 @@ def hot_keys(fact: DataFrame, key: str, support: float) -> list:
 
 
 def skew_split_lookup(fact: DataFrame, dim: DataFrame, key: str, take: dict[str, str],
-                      how: str = "left", support: float = 0.01) -> DataFrame:
+                      how: str = "left", support: float = 0.01,
+                      hot_from: DataFrame | None = None) -> DataFrame:
     """D3 / D1 for a fact side with hot keys: exact, no replicated dimension.
 
     Rows whose key is hot (at most 1/support keys) join a broadcast of just
     those keys' dimension rows, so a key holding a third of the facts never
     lands in one shuffle partition. All other rows take the ordinary join.
     The union is the same multiset as ``lookup``.
+
+    ``hot_from`` (a plain scan holding the key) detects the hot keys when
+    ``fact`` is an expensive derived frame; the keys only route rows, so the
+    result is exact whichever frame they come from.
     """
     if how not in ("left", "inner"):
         raise ValueError("skew_split_lookup supports left and inner joins")
-    hot = hot_keys(fact.select(key), key, support)
+    hot = hot_keys((hot_from if hot_from is not None else fact).select(key), key, support)
     if not hot:
         return lookup(fact, dim, key, take, how)
     k = F.col(key)

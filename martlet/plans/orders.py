@@ -195,7 +195,7 @@ def _expensive_items_of_high_value(cat: Catalog, params: Params) -> DataFrame:
     # A customer holding a large share of the items joins through a broadcast
     # of its own row; the rest share the customer_id partitioning.
     return skew_split_lookup(rows, _customers(cat), "customer_id", {"name": "name"}, "inner",
-                             support=HOT_KEY_SUPPORT)
+                             support=HOT_KEY_SUPPORT, hot_from=_orders(cat))
 
 
 def expensive_items_of_high_value(cat: Catalog, params: Params = Params()) -> DataFrame:
