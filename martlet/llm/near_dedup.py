@@ -6,7 +6,8 @@ agree in all rows of a band share a bucket. Within a bucket each class is
 paired with the bucket's least one; after a signature test the pair's full
 sets are compared. Components of these links settle almost every bucket; in the
 buckets that still hold two components, the remaining pairs across components
-get the same two tests, so no link inside a bucket is lost. With 24 bands of 4 rows a
+are tested too, with a longer signature that is made for these classes alone and
+then on full sets, so no link inside a bucket is lost. With 24 bands of 4 rows a
 pair of similarity 0.85 shares no bucket with probability below 3e-8, and one
 of 0.8 below 4e-6.
 """
@@ -26,14 +27,16 @@ BANDS, ROWS = 24, 4
 #: Agreement of signatures under which a pair isn't compared in full: about five
 #: standard deviations of the estimate (96 minima) below the threshold.
 SLACK = 0.19
+#: The same for the longer signature (512 minima).
+WIDE, WIDE_SLACK = 512, 0.08
 #: Members of one task's group when texts are compared with a bucket's least class.
 GROUP = 256
 #: Side of the blocks in which a bucket with several components is searched.
 BLOCK = 1024
 
 _rng = np.random.default_rng(20240229)
-_A = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+_A = _rng.integers(0, 1 << 63, WIDE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _rng.integers(0, 1 << 63, WIDE, dtype=np.uint64)
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +62,14 @@ def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return value, np.searchsorted(doc, np.arange(len(count) + 1))
 
 
+def _minima(value: np.ndarray, at: np.ndarray, count: int) -> np.ndarray:
+    """Mixed minima of ``count`` multiply-shift functions over the value runs that begin at ``at``."""
+    out = np.empty((len(at), count), np.uint64)
+    for k in range(count):                             # the high bits order the values
+        out[:, k] = np.minimum.reduceat(value * _A[k] + _B[k], at)
+    return W.mix(out >> W.U(32))
+
+
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
                      ("signature", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
@@ -69,15 +80,13 @@ def _sign(batches):
             value, first = shingle_sets(part.column(1))
             n = np.diff(first)
             full = np.flatnonzero(n)
-            minima = np.empty((len(full), BANDS * ROWS), np.uint64)
+            high = np.zeros((0, BANDS * ROWS), np.uint64)
             d1, d2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
             if len(full):
                 at = first[:-1][full]
-                for k in range(BANDS * ROWS):          # multiply-shift family: the high bits order the values
-                    minima[:, k] = np.minimum.reduceat(value * _A[k] + _B[k], at)
+                high = _minima(value, at, BANDS * ROWS)
                 d1[full] = np.add.reduceat(W.mix(value + W.U(1)), at)
                 d2[full] = np.bitwise_xor.reduceat(W.mix(value + W.U(2)), at)
-            high = W.mix(minima >> W.U(32))
             band = np.zeros((len(full), BANDS), np.uint64)
             for r in range(ROWS):
                 band = W.mix(band * W.U(0x9E3779B97F4A7C15) + high[:, r::ROWS])
@@ -139,34 +148,49 @@ def _full_test(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(_linking(percent), "u long, v long").distinct())
 
 
+def _sign_wide(batches):
+    for batch in batches:
+        for part in W.blocks(batch, "text", 1 << 20):
+            value, first = shingle_sets(part.column(1))
+            sig = (_minima(value, first[:-1], WIDE) >> W.U(56)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in sig], pa.binary())], names=["rep", "wide"])
+
+
 def _across(cut: float):
-    """Of one pair of blocks, the pairs whose components differ and whose signatures agree."""
+    """Of one pair of blocks, the pairs whose components differ and whose signatures agree; each pair in its first common band only."""
     def run(rows: pa.Table) -> pa.Table:
         rep, comp, side = (rows.column(c).to_numpy() for c in ("rep", "component", "side"))
-        sig = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+        wide = np.frombuffer(b"".join(rows.column("wide").to_pylist()), np.uint8).reshape(-1, WIDE)
+        keys = np.array(rows.column("bands").to_pylist(), np.int64)
+        band = rows.column("band")[0].as_py()
         left = np.flatnonzero(side == 0)
         right = np.flatnonzero(side == 1) if side.any() else left
         us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in left:
             hit = right[comp[right] != comp[i]]
-            hit = hit[(sig[hit] == sig[i]).mean(axis=1) >= cut]
+            hit = hit[~(keys[hit, :band] == keys[i, :band]).any(axis=1)]
+            hit = hit[(wide[hit] == wide[i]).mean(axis=1) >= cut]
             us.append(np.minimum(rep[hit], rep[i]))
             vs.append(np.maximum(rep[hit], rep[i]))
         return pa.table({"u": np.concatenate(us), "v": np.concatenate(vs)})
     return run
 
 
-def _remaining(buckets: DataFrame, comps: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs still to be compared: same bucket, different components, agreeing signatures."""
+def _remaining(buckets: DataFrame, comps: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Pairs still to be compared: same bucket, different components, agreeing longer signatures."""
     own = buckets.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = (own.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
              .filter("lo <> hi").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts")))
-    cells = (own.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    own = store(own.join(mixed, "bucket"), "mixed")
+    member = own.select("rep").distinct()
+    wide = (docs.join(member.hint("shuffle_hash"), docs["doc_id"] == member["rep"]).select("rep", "text")
+            .mapInArrow(_sign_wide, "rep long, wide binary").dropDuplicates(["rep"]))
+    cells = (own.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("bucket", "rep", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     (F.col("block") > F.col("other")).cast("int").alias("side")))
-    cells = cells.join(classes.select("rep", "signature"), "rep")
-    return (cells.groupBy("bucket", "i", "j").applyInArrow(_across(percent / 100 - SLACK), "u long, v long")
+             .select("bucket", "band", "rep", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                     (F.col("block") > F.col("other")).cast("int").alias("side"))
+             .join(wide, "rep").join(classes.select("rep", "bands"), "rep"))
+    return (cells.groupBy("bucket", "i", "j").applyInArrow(_across(percent / 100 - WIDE_SLACK), "u long, v long")
             .distinct())
 
 
@@ -186,14 +210,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     reps = member.filter("doc_id = rep").select("rep")
     classes = store(signed.join(reps, signed["doc_id"] == reps["rep"]).select("rep", "signature", "bands").dropDuplicates(["rep"]), "reps")
 
-    banded = classes.select("rep", F.posexplode("bands").alias("band", "key")).select("rep", F.xxhash64("band", "key").alias("bucket"))
+    banded = classes.select("rep", F.posexplode("bands").alias("band", "key")).select("rep", "band", F.xxhash64("band", "key").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).filter("center <> last")
-    buckets = store(banded.join(shared, "bucket").select("bucket", "rep", "center").distinct(), "buckets")
+    buckets = store(banded.join(shared, "bucket").select("bucket", "band", "rep", "center"), "buckets")
 
     star = buckets.filter("rep <> center").select(F.col("center").alias("u"), F.col("rep").alias("v")).distinct()
     links = store(_full_test(store(_signature_test(star, classes, percent), "pairs"), docs, percent), "links")
     comps = store(components(links), "components")
-    rest = store(_remaining(buckets.select("bucket", "rep"), comps, classes, percent).join(star, ["u", "v"], "left_anti"), "rest")
+    rest = store(_remaining(buckets.select("bucket", "band", "rep"), comps, classes, docs, percent).join(star, ["u", "v"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = store(_full_test(rest, docs, percent), "links")
         comps = store(components(links.unionAll(more)), "components")
