@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import near_dedup
+from martlet.llm import near_dedup, substring_dedup
 from martlet.llm.tables import documents
 
 #: Rows of a batch that a Python task holds; texts are long, Spark's default is for narrow rows.
@@ -37,6 +37,11 @@ def query(key: str, oracle: str | None = None):
     return deco
 
 
+@query("op1_substring_dedup")
+def op1(spark, sf_dir):
+    return substring_dedup.remove_repeats(documents(spark, sf_dir), window=50, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
 @query("op3_minhash_near_dedup")
 def op3(spark, sf_dir):
     return near_dedup.near_duplicates(documents(spark, sf_dir), percent=85)

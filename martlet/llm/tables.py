@@ -26,7 +26,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
         atexit.register(release, spark)
     _made[app].append(path)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
