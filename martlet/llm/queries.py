@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlet.llm import near_dedup, substring_dedup
-from martlet.llm.tables import documents
+from martlet.llm import near_dedup, substring_dedup, toxicity
+from martlet.llm.tables import documents, remainder
 
 #: Rows of a batch that a Python task holds; texts are long, Spark's default is for narrow rows.
 BATCH_ROWS = "512"
@@ -45,3 +45,11 @@ def op1(spark, sf_dir):
 @query("op3_minhash_near_dedup")
 def op3(spark, sf_dir):
     return near_dedup.near_duplicates(documents(spark, sf_dir), percent=85)
+
+
+@query("op9_toxicity")
+def op9(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(remainder("doc_id", 5) != 0)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
