@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlet.llm import near_dedup, substring_dedup, toxicity
+from martlet.llm import language_id, lm_score, near_dedup, substring_dedup, toxicity
 from martlet.llm.tables import documents, remainder
 
 #: Rows of a batch that a Python task holds; texts are long, Spark's default is for narrow rows.
@@ -42,11 +42,26 @@ def op1(spark, sf_dir):
     return substring_dedup.remove_repeats(documents(spark, sf_dir), window=50, digest=True).withColumnRenamed("kept", "kept_sha256")
 
 
+@query("op2_language_id")
+def op2(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    net = language_id.train(docs.filter(remainder("doc_id", 4) != 2))
+    return (language_id.identify(docs, net)
+            .select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score"))
+
+
 @query("op3_minhash_near_dedup")
 def op3(spark, sf_dir):
     return near_dedup.near_duplicates(documents(spark, sf_dir), percent=85)
 
 
+@query("op4_lm_score")
+def op4(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    scored = lm_score.score(docs, docs.filter(remainder("doc_id", 10) != 0))
+    return scored.withColumn("held_out", remainder("doc_id", 10) == 0)
+
+
 @query("op9_toxicity")
 def op9(spark, sf_dir):
     docs = documents(spark, sf_dir)
