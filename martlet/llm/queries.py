@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlet.llm import language_id, lm_score, near_dedup, substring_dedup, toxicity
+from martlet.llm import language_id, lm_score, near_dedup, packing, sharding, substring_dedup, toxicity
 from martlet.llm.tables import documents, remainder
 
 #: Rows of a batch that a Python task holds; texts are long, Spark's default is for narrow rows.
@@ -25,6 +25,11 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_ROWS)
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
 def query(key: str, oracle: str | None = None):
     def deco(job):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,3 +73,14 @@ def op9(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(remainder("doc_id", 5) != 0)
     scored = toxicity.score(docs, toxicity.train(docs, labels))
     return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op8_consistent_hash_sharding")
+def op8(spark, sf_dir):
+    return (sharding.assign(documents(spark, sf_dir), 24)
+            .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home_shard"))
+
+
+@query("op10_curve_packing")
+def op10(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), length=2048)
