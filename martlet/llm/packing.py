@@ -99,7 +99,7 @@ class _Encoder:
 
     def _ids(self, texts: list[str]) -> dict[str, bytes]:
         """Pieces from blank to blank are encoded many in one text; each begins where a token with a blank does."""
-        pieces = [x for x in texts if x[0] == " " and " " not in x[1:] and len(x) > 1]
+        pieces = [x for x in texts if x[:1] == " " and " " not in x[1:] and len(x) > 1]
         groups = [pieces[i:i + self.TOGETHER] for i in range(0, len(pieces), self.TOGETHER)]
         out = {}
         for group, ids in zip(groups, self._each(["".join(g) for g in groups])):
