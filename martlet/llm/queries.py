@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlet.llm import language_id, lm_score, near_dedup, packing, sharding, substring_dedup, toxicity
+from martlet.llm import decontaminate, language_id, line_dedup, lm_score, near_dedup, packing, quality, sharding, substring_dedup, toxicity
 from martlet.llm.tables import documents, remainder
 
 #: Rows of a batch that a Python task holds; texts are long, Spark's default is for narrow rows.
@@ -84,3 +84,19 @@ def op8(spark, sf_dir):
 @query("op10_curve_packing")
 def op10(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), length=2048)
+
+
+@query("op6_decontamination", decontaminate.ORACLE)
+def op6(spark, sf_dir):
+    return decontaminate.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op7_line_dedup", line_dedup.ORACLE)
+def op7(spark, sf_dir):
+    return (line_dedup.remove_runs(documents(spark, sf_dir))
+            .select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")))
+
+
+@query("op5_quality_divergence")
+def op5(spark, sf_dir):
+    return quality.assess(documents(spark, sf_dir))
