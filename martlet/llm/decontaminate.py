@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martlet.llm.native import NOT_ALNUM, fold, let, upto, winnowed, words
+from martlet.llm.tables import store
 
 WINDOW, GRAM = 10, 5
 
@@ -57,7 +58,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     repeated rows get equal results, and rows without id are never hit. Empty tables
     give no rows, or rows without hits.
     """
-    found = hits(docs.filter("doc_id is not null"), items)
+    found = store(hits(docs.filter("doc_id is not null"), items), "hits")
     words_hit = (found.select("doc_id", "at", "length").distinct()
                  .select("doc_id", F.explode(F.sequence("at", F.col("at") + F.col("length") - 1)).alias("word")).distinct()
                  .groupBy("doc_id").agg(F.count("*").alias("n_hit")))
