@@ -12,7 +12,8 @@ some window over it also stands in a document with a smaller id.
 3. Documents that hold recurring fingerprints are dealt to shards. A shard gets the
    passages that share a fingerprint with one of its documents, compiles their
    fingerprints to one Aho-Corasick automaton over word symbols, streams its documents
-   through it, and compares words along each hit's diagonal. Shards are sized by their
+   through it, and compares the windows over each hit with those of the passages (64-bit
+   hashes of 50 words, beside the words that the automaton matched). Shards are sized by their
    documents, so automata stay bounded as the corpus grows.
 
 Documents without a recurring fingerprint can't hold an occurrence and lose nothing.
@@ -130,56 +131,55 @@ def symbols(h: np.ndarray) -> str:
 
 
 class _Shard:
-    """Passages of one shard and the automaton of their fingerprints."""
+    """Passages of one shard: the automaton of their fingerprints, and the first document of each of their windows."""
 
     def __init__(self, window: int):
         self.window, self.k = window, window // 2
-        self.docs: list[int] = []
-        self.words: list[np.ndarray] = []
-        self.places: list[list[tuple[int, int]]] = []
-        self.grams: dict[str, int] = {}
+        self.grams: set[str] = set()
+        self.hashes: list[np.ndarray] = []
+        self.firsts: list[np.ndarray] = []
         self.automaton = None
 
     def add(self, first_doc: int, h: np.ndarray) -> None:
-        text, number = symbols(h), len(self.docs)
-        self.docs.append(first_doc)
-        self.words.append(h)
-        for at in fingerprints(h, np.array([0, len(h)]), self.window)[0].tolist():
-            gram = text[at:at + self.k]
-            if gram not in self.grams:
-                self.grams[gram] = len(self.places)
-                self.places.append([])
-            self.places[self.grams[gram]].append((number, at))
+        text = symbols(h)
+        self.grams.update(text[at:at + self.k] for at in fingerprints(h, np.array([0, len(h)]), self.window)[0].tolist())
+        self.hashes.append(W.grams(h, self.window))
+        self.firsts.append(np.full(len(self.hashes[-1]), first_doc, np.int64))
 
     def compile(self) -> None:
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for gram, i in self.grams.items():
-            self.automaton.add_word(gram, i)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for gram in self.grams:
+            self.automaton.add_word(gram)
         self.automaton.make_automaton()
-        self.grams = {}
+        hashes, firsts = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((self.hashes, np.uint64), (self.firsts, np.int64)))
+        order = np.lexsort((firsts, hashes))
+        self.keys, one = np.unique(hashes[order], return_index=True)
+        self.first = firsts[order][one]
+        self.grams, self.hashes, self.firsts = set(), [], []
 
     def covered(self, doc_id: int, h: np.ndarray) -> np.ndarray:
-        """Which words stand in a window that a passage of a smaller document has too."""
-        out, seen = np.zeros(len(h), bool), set()
-        if not self.places or len(h) < self.window:
+        """Which words stand in a window that a passage of a smaller document has too.
+
+        The automaton finds every fingerprint; the windows over each are looked up among the passages' windows.
+        """
+        out = np.zeros(len(h), bool)
+        if not len(self.keys) or len(h) < self.window:
             return out
-        for end, gram in self.automaton.iter(symbols(h)):
-            at = end - self.k + 1
-            if out[max(0, at - self.window + self.k):at + self.window].all():
-                continue                                                # nothing that this hit could add
-            for number, place in self.places[gram]:
-                if self.docs[number] >= doc_id or (number, at - place) in seen:
-                    continue
-                seen.add((number, at - place))
-                p, shift = self.words[number], at - place
-                lo, hi = max(0, shift), min(len(h), shift + len(p))
-                same = np.zeros(hi - lo + 2, np.int8)
-                same[1:-1] = h[lo:hi] == p[lo - shift:hi - shift]
-                edge = np.diff(same)
-                for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
-                    if b - a >= self.window:
-                        out[lo + a:lo + b] = True
-        return out
+        ends = np.array([end for end, _ in self.automaton.iter(symbols(h))], np.int64)
+        if not len(ends):
+            return out
+        at, last = ends - self.k + 1, len(h) - self.window
+        near = np.zeros(len(h) + 1, np.int64)
+        np.add.at(near, np.maximum(at - (self.window - self.k), 0), 1)
+        np.add.at(near, at + 1, -1)
+        starts = np.flatnonzero(np.cumsum(near)[:last + 1] > 0)
+        window = W.grams(h, self.window)[starts]
+        place = np.minimum(np.searchsorted(self.keys, window), len(self.keys) - 1)
+        starts = starts[(self.keys[place] == window) & (self.first[place] < doc_id)]
+        over = np.zeros(len(h) + 1, np.int64)
+        np.add.at(over, starts, 1)
+        np.add.at(over, starts + self.window, -1)
+        return np.cumsum(over)[:-1] > 0
 
 
 def _joined(data: np.ndarray, ws: np.ndarray, we: np.ndarray) -> bytes:
