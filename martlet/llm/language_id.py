@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from martlet.llm import words as W
+from martlet.llm.tables import task
 
 #: Bytes that the network reads at once, and runs that are computed together.
 SPAN, LANES = 64, 2048
@@ -212,6 +213,6 @@ def identify(docs: DataFrame, net: Network) -> DataFrame:
 
     told = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .withColumn("lettered", F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)))
-            .mapInArrow(run, "doc_id long, lang_pred string, score double, lettered boolean"))
+            .mapInArrow(task(run), "doc_id long, lang_pred string, score double, lettered boolean"))
     return told.select("doc_id", F.when(F.col("lettered"), F.col("lang_pred")).otherwise("und").alias("lang_pred"),
                        F.when(F.col("lettered"), F.col("score")).otherwise(0.0).alias("score"))

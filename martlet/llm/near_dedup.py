@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martlet.llm import words as W
 from martlet.llm.components import components
-from martlet.llm.tables import store
+from martlet.llm.tables import store, task
 
 SHINGLE = 5
 BANDS, ROWS = 24, 4
@@ -76,7 +76,7 @@ _SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1",
 
 def _sign(batches):
     for batch in batches:
-        for part in W.blocks(batch, "text", 1 << 20):
+        for part in W.blocks(batch, "text"):
             value, first = shingle_sets(part.column(1))
             n = np.diff(first)
             full = np.flatnonzero(n)
@@ -145,12 +145,12 @@ def _full_test(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     wanted = member.unionAll(base)
     texts = docs.join(wanted.hint("shuffle_hash"), docs["doc_id"] == wanted["v"]).select("u", "salt", "v", "text")
     return (texts.repartition("u", "salt").sortWithinPartitions("u", "salt", F.col("v") != F.col("u"), "v")
-            .mapInArrow(_linking(percent), "u long, v long").distinct())
+            .mapInArrow(task(_linking(percent)), "u long, v long").distinct())
 
 
 def _sign_wide(batches):
     for batch in batches:
-        for part in W.blocks(batch, "text", 1 << 20):
+        for part in W.blocks(batch, "text"):
             value, first = shingle_sets(part.column(1))
             sig = (_minima(value, first[:-1], WIDE) >> W.U(56)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in sig], pa.binary())], names=["rep", "wide"])
@@ -184,7 +184,7 @@ def _remaining(buckets: DataFrame, comps: DataFrame, classes: DataFrame, docs: D
     own = store(own.join(mixed, "bucket"), "mixed")
     member = own.select("rep").distinct()
     wide = (docs.join(member.hint("shuffle_hash"), docs["doc_id"] == member["rep"]).select("rep", "text")
-            .mapInArrow(_sign_wide, "rep long, wide binary").dropDuplicates(["rep"]))
+            .mapInArrow(task(_sign_wide), "rep long, wide binary").dropDuplicates(["rep"]))
     cells = (own.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("bucket", "band", "rep", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
@@ -203,7 +203,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     id is linked with nothing, has no component and is kept. An empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = store(docs.mapInArrow(_sign, "doc_id long, n_shingles long, d1 long, d2 long, signature binary, bands array<long>"), "signed")
+    signed = store(docs.mapInArrow(task(_sign), "doc_id long, n_shingles long, d1 long, d2 long, signature binary, bands array<long>"), "signed")
     live = signed.filter("n_shingles > 0 and doc_id is not null")
     least = live.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     member = store(live.select("doc_id", "d1", "d2", "n_shingles").join(least, ["d1", "d2", "n_shingles"]).select("doc_id", "rep").distinct(), "classes")

@@ -23,7 +23,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
 
 from martlet.llm import words as W
-from martlet.llm.tables import store
+from martlet.llm.tables import store, task
 
 SEQUENCE = 2048
 END_ID = 1
@@ -140,7 +140,7 @@ def _tokenise(path: str):
             _encoders[path] = _Encoder(path)
         end = np.array([END_ID], "<u2").tobytes()
         for batch in batches:
-            for part in W.blocks(batch, "text", 1 << 20):
+            for part in W.blocks(batch, "text"):
                 ids = [x + end for x in _encoders[path].encode(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hilbert_key(places(part.column(1)))), pa.array([len(x) // 2 for x in ids], pa.int64()),
                                                   pa.array(ids, pa.binary())], names=["doc_id", "key", "doc_tokens", "ids"])
@@ -177,7 +177,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = SEQUENCE) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    coded = store(docs.mapInArrow(_tokenise(tokenizer), "doc_id long, key long, doc_tokens long, ids binary"), "tokens")
+    coded = store(docs.mapInArrow(task(_tokenise(tokenizer)), "doc_id long, key long, doc_tokens long, ids binary"), "tokens")
     line = coded.withColumn("place", (F.shiftleft("key", TIE_BITS) + F.pmod(F.xxhash64("doc_id"), F.lit(1 << TIE_BITS))).cast("double"))
     total = coded.agg(F.coalesce(F.sum("doc_tokens"), F.lit(0))).first()[0]
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE)
@@ -189,4 +189,4 @@ def pack(docs: DataFrame, tokenizer: str, length: int = SEQUENCE) -> DataFrame:
         at += r["n"]
     return (ranged.select("range", "doc_id", "ids", "place").repartition(ranges, "range").sortWithinPartitions("range", "place", "doc_id", F.xxhash64("ids"))
             .select("range", "doc_id", "ids")
-            .mapInArrow(_cut(length, begins), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"))
+            .mapInArrow(task(_cut(length, begins)), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from martlet.llm import words as W
-from martlet.llm.tables import store
+from martlet.llm.tables import store, task
 
 WINDOW = 50
 #: Fingerprints of one shard's documents, about eight megabytes of text.
@@ -59,9 +59,9 @@ def fingerprints(h: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndar
     return at, g[at]
 
 
-def _parts(batches, size: int = 4 << 20):
+def _parts(batches):
     for batch in batches:
-        for part in W.blocks(batch, "text", size):
+        for part in W.blocks(batch, "text"):
             data, off = W.utf8(part.column(part.schema.get_field_index("text")))
             ws, we, first = W.word_spans(data, off)
             yield part, data, ws, we, first
@@ -242,7 +242,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, digest: bool = False)
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = docs.filter("doc_id is not null")
-    anchors = store(named.mapInArrow(_anchors(window), "fp long, doc_id long, pos int"), "anchors")
+    anchors = store(named.mapInArrow(task(_anchors(window)), "fp long, doc_id long, pos int"), "anchors")
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-anchors.count() // SHARD))
 
     again = anchors.groupBy("fp").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("fp")
@@ -250,11 +250,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, digest: bool = False)
     held = recurring.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("anchors")).withColumnRenamed("doc_id", "id")
     holding = store(named.join(held.hint("shuffle_hash"), F.col("doc_id") == F.col("id")).select("doc_id", "text", "anchors"), "holding")
 
-    found = holding.mapInArrow(_windows(window), "hash long, doc_id long, pos int")
+    found = holding.mapInArrow(task(_windows(window)), "hash long, doc_id long, pos int")
     firsts = (found.groupBy("hash").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("hi"), F.min_by("pos", "doc_id").alias("pos"))
               .filter("id < hi").groupBy("id").agg(F.collect_set("pos").alias("starts")))
     passages = store(holding.join(firsts.hint("shuffle_hash"), F.col("doc_id") == F.col("id")).select("doc_id", "text", "starts")
-                     .dropDuplicates(["doc_id"]).mapInArrow(_passages(window), "first_doc long, start int, text string, fps array<long>"), "passages")
+                     .dropDuplicates(["doc_id"]).mapInArrow(task(_passages(window)), "first_doc long, start int, text string, fps array<long>"), "passages")
 
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard")
     homes = recurring.groupBy("fp", shard).agg(F.max("doc_id").alias("last"))
@@ -263,7 +263,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, digest: bool = False)
     sent = passages.join(wanted, ["first_doc", "start"]).select("shard", F.col("first_doc").alias("doc_id"), F.lit(0).alias("kind"), "text")
     located = (sent.unionAll(holding.select(shard, "doc_id", F.lit(1).alias("kind"), "text"))
                .repartition("shard").sortWithinPartitions("shard", "kind", "doc_id")
-               .mapInArrow(_locate(window, digest), "doc_id long, n_removed long, kept string").dropDuplicates(["doc_id"]))
-    whole = docs.mapInArrow(_whole(digest), "doc_id long, n_words long, kept string")
+               .mapInArrow(task(_locate(window, digest)), "doc_id long, n_removed long, kept string").dropDuplicates(["doc_id"]))
+    whole = docs.mapInArrow(task(_whole(digest)), "doc_id long, n_words long, kept string")
     return (whole.join(located.select(F.col("doc_id").alias("id"), "n_removed", F.col("kept").alias("left")), F.col("doc_id") == F.col("id"), "left")
             .select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("left", "kept").alias("kept")))

@@ -8,7 +8,10 @@ folder of a session is deleted when the driver ends, or earlier by ``release``.
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlet.session import scratch_path
@@ -49,3 +52,20 @@ def remainder(column: str, mod: int):
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def task(run):
+    """A function of record batches that returns freed memory to the system at its end; workers live on for other tasks."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        trim()
+    return wrapped
+
+
+def trim() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:                      # a C library without it
+        pass

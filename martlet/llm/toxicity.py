@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from martlet.llm import words as W
+from martlet.llm.tables import task
 
 #: Labelled documents of a class that the models are fitted on, at most.
 PER_CLASS = 3000
@@ -309,4 +310,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for part in W.blocks(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own.score(part.column(1)))], names=["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(task(run), "doc_id long, score double")

@@ -131,7 +131,7 @@ def gram_starts(first: np.ndarray, k: int) -> np.ndarray:
     return ok
 
 
-def blocks(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
+def blocks(batch: pa.RecordBatch, column: str, most: int = 1 << 20):
     """Slices of a record batch with about ``most`` bytes of text each; a longer text stands alone."""
     col = batch.column(batch.schema.get_field_index(column))
     _, off = utf8(col)
