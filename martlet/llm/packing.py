@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ TIE_BITS = 12
 #: Tokens of a range, about.
 RANGE = 1 << 24
 #: Texts between blanks whose ids a task remembers, and the longest that is remembered.
-REMEMBERED, LONGEST = 600_000, 64
+REMEMBERED, LONGEST = 200_000, 64
 
 
 def hilbert_key(places: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -94,40 +95,54 @@ class _Encoder:
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token[0] == "\u0120"          # how byte-level vocabularies write it
 
-    def _each(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u2") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.ranked = self._ranked()
+
+    def _ranked(self):
+        """The same byte-level merges by rank, for pieces without special tokens; about three times as fast."""
+        import public_tokenizers
+        import tiktoken
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]      # bytes that such vocabularies write as themselves
+        letters = {chr(b): b for b in plain}
+        letters.update({chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in set(plain))})
+        ranks = {bytes(letters[c] for c in token): i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if all(c in letters for c in token)}
+        ranks = {k: v for k, v in ranks.items() if v not in self.tokenizer.get_added_tokens_decoder()}
+        return tiktoken.Encoding("merges", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def _ids(self, texts: list[str]) -> dict[str, bytes]:
         """Pieces from blank to blank are encoded many in one text; each begins where a token with a blank does."""
-        pieces = [x for x in texts if x[:1] == " " and " " not in x[1:] and len(x) > 1]
-        groups = [pieces[i:i + self.TOGETHER] for i in range(0, len(pieces), self.TOGETHER)]
+        pieces = [x for x in texts if x[:1] == " " and len(x) > 1 and " " not in x[1:] and "<|" not in x]
         out = {}
-        for group, ids in zip(groups, self._each(["".join(g) for g in groups])):
+        for i in range(0, len(pieces), self.TOGETHER):
+            group = pieces[i:i + self.TOGETHER]
+            ids = np.array(self.ranked.encode_ordinary("".join(group)), "<u2")
             at = np.flatnonzero(self.opens[ids])
             if len(at) == len(group):
                 raw, edges = ids.tobytes(), [*(2 * at).tolist(), 2 * len(ids)]
                 out.update((x, raw[a:b]) for x, a, b in zip(group, edges, edges[1:]))
-        rest = [x for x in texts if x not in out]
-        out.update((x, ids.tobytes()) for x, ids in zip(rest, self._each(rest)))
+        out.update((x, self._whole(x)) for x in texts if x not in out)
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         known, parts = self.known, []
         for text in texts:
             if not text:
                 parts.append([])
-            elif "  " in text or " \n" in text or " \t" in text or " \r" in text or text[-1] == " " or _ODD.search(text):
+            elif "  " in text or " \n" in text or " \t" in text or " \r" in text or text[-1] == " " or "\0" in text or _ODD.search(text):
                 parts.append([text])
             else:
-                parts.append(text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text])
-        new = list({x: None for own in parts for x in own if x not in known})
-        fresh = self._ids(new)
-        known.update((k, v) for k, v in fresh.items() if len(k) <= LONGEST)
-        out = []
-        for own in parts:
-            out.append(b"".join([known[x] if x in known else fresh[x] for x in own]))
+                parts.append(text.replace(" ", "\0 ").split("\0"))
+        new = set(chain.from_iterable(parts)).difference(known)
+        known.update(self._ids(sorted(new)))
+        out = [b"".join(map(known.__getitem__, own)) for own in parts]
+        if len(known) > REMEMBERED:
+            known.clear()
+        else:
+            for x in new:
+                if len(x) > LONGEST:
+                    del known[x]
         return out
 
 
