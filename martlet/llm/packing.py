@@ -34,7 +34,7 @@ TIE_BITS = 12
 #: Tokens of a range, about.
 RANGE = 1 << 24
 #: Texts between blanks whose ids a task remembers, and the longest that is remembered.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 300_000, 64
 
 
 def hilbert_key(places: np.ndarray, bits: int = BITS) -> np.ndarray:
