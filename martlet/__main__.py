@@ -2,6 +2,7 @@
 
     python -m martlet run --out ROOT (--sf-dir DIR | --table name=path ...)
                           [--select a,b] [--full-refresh] [--as-of YYYY-MM-DD] [--user NAME]
+                          [--price-min X] [--spend-min X] [--recent-days N]
 
 ``--sf-dir`` derives the source tables from the TPC-H-like test tables;
 ``--table`` maps each source name (fct_orders, dim_customers, order_items,
@@ -31,7 +32,10 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--select", help=f"comma list of {', '.join(MODELS)}")
     r.add_argument("--full-refresh", action="store_true")
     r.add_argument("--as-of")
-    r.add_argument("--user", default="analyst")
+    r.add_argument("--user", help="default: the session's user")
+    r.add_argument("--price-min", type=float, default=Params.price_min)
+    r.add_argument("--spend-min", type=float, default=Params.spend_min)
+    r.add_argument("--recent-days", type=int, default=Params.recent_days)
     r.add_argument("--master", help="only for local runs, e.g. local[8]")
     a = ap.parse_args(argv)
 
@@ -40,7 +44,8 @@ def main(argv: list[str] | None = None) -> None:
         cat = fixture_catalog(spark, a.sf_dir)
     else:
         cat = Catalog.from_paths(spark, dict(t.split("=", 1) for t in a.table))
-    params = Params(as_of=dt.date.fromisoformat(a.as_of) if a.as_of else None, user=a.user)
+    params = Params(as_of=dt.date.fromisoformat(a.as_of) if a.as_of else None, user=a.user,
+                    price_min=a.price_min, spend_min=a.spend_min, recent_days=a.recent_days)
     built = run(cat, a.out, a.select.split(",") if a.select else None, a.full_refresh, params)
     print(json.dumps(built))
 

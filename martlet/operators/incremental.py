@@ -10,6 +10,8 @@ replaced (see ``martlet.sources.target``).
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import operator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,9 +38,11 @@ def per_key_marks(target: DataFrame, keys: list[str], col: str, name: str = "_ma
 def after_per_key_mark(batch: DataFrame, marks: DataFrame, keys: list[str], col: str,
                        name: str = "_mark") -> DataFrame:
     """Keep rows newer than their key's mark, or whose key has no mark."""
-    return (batch.join(marks, keys, "left")
+    named = marks.select(*[F.col(k).alias(f"_mark_{k}") for k in keys], name)
+    same = [F.col(k).eqNullSafe(F.col(f"_mark_{k}")) for k in keys]      # a NULL key has a mark of its own
+    return (batch.join(named, functools.reduce(operator.and_, same), "left")
                  .where(F.col(name).isNull() | (F.col(col) > F.col(name)))
-                 .drop(name))
+                 .select(*batch.columns))
 
 
 def mark_condition(col: str, mark, inclusive: bool = False, lookback_days: int = 0,

@@ -7,7 +7,7 @@ parallelism at most. Here the ranking runs as a range-partitioned scan:
 1. range-partition on (keys, value, row hash) into ``n`` parts and sort inside
    each part, so a large key group - and even a large group of tied values -
    is spread over many parts;
-2. rank inside each part in one vectorised pass (Arrow batches, numpy);
+2. rank inside each part with a window over (part, keys);
 3. a part can only *continue* the key group (and the tie run) that ended the
    previous part, so one summary row per part (first/last key and value, rows
    of the last key and of the last tie run) is enough to compute every part's
@@ -17,18 +17,15 @@ parallelism at most. Here the ranking runs as a range-partitioned scan:
 
 The locally ranked parts are written once to the cluster's shared checkpoint
 folder because two branches read them and must agree on which row sits in
-which part.
+which part; the copy is deleted when the driver ends (``session.release_scratch``).
 
 The result equals SQL ``RANK()`` (ties share a rank, gaps follow).
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martlet.session import scratch_path, shuffle_partitions
 
@@ -36,55 +33,6 @@ _PID = "_mrt_pid"
 _LRANK = "_mrt_lrank"
 
 
-def _same_as_prev(arr: np.ndarray, carry, has_carry: bool) -> np.ndarray:
-    """eq[i] = arr[i] equals arr[i-1] (NULL equals NULL); eq[0] compares to carry."""
-    n = len(arr)
-    na = pd.isna(arr)
-    eq = np.empty(n, dtype=bool)
-    if n > 1:
-        eq[1:] = (arr[1:] == arr[:-1]) | (na[1:] & na[:-1])
-    if has_carry:
-        c_na = pd.isna(carry)
-        eq[0] = bool(na[0] and c_na) or bool((not na[0]) and (not c_na) and arr[0] == carry)
-    else:
-        eq[0] = False
-    return eq
-
-
-def _local_rank_fn(key_names: list[str], value_name: str):
-    def run(batches):
-        has_carry = False
-        carry_keys: list = []
-        carry_val = None
-        carry_pos = 0
-        carry_rank = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            idx = np.arange(n)
-            key_arrs = [pdf[k].to_numpy() for k in key_names]
-            same_key = np.ones(n, dtype=bool)
-            for j, arr in enumerate(key_arrs):
-                same_key &= _same_as_prev(arr, carry_keys[j] if has_carry else None, has_carry)
-            val = pdf[value_name].to_numpy()
-            new_group = ~same_key
-            new_value = new_group | ~_same_as_prev(val, carry_val, has_carry)
-            # position inside the key group (1-based), continuing the carried group
-            gstart = np.maximum.accumulate(np.where(new_group, idx, -1))
-            pos = np.where(gstart < 0, carry_pos + idx + 1, idx - gstart + 1)
-            # rank = position of the first row of the current run of equal values
-            vstart = np.maximum.accumulate(np.where(new_value, idx, -1))
-            rank = np.where(vstart < 0, carry_rank, pos[np.maximum(vstart, 0)])
-            has_carry = True
-            carry_keys = [arr[-1] for arr in key_arrs]
-            carry_val = val[-1]
-            carry_pos = int(pos[-1])
-            carry_rank = int(rank[-1])
-            yield pdf.assign(**{_LRANK: rank.astype("int64")})
-    return run
-
-
 def _offsets(summary: DataFrame, last_col: str, first_col: str, count_col: str) -> DataFrame:
     """Per part p: sum of ``count_col`` over earlier parts q whose ``last_col``
     equals p's ``first_col`` (the runs that continue into p)."""
@@ -113,15 +61,15 @@ def rank_within(df: DataFrame, keys: list[str], value: str, out: str = "rank",
 
     # Explicit part count (AQE must not coalesce: the part id becomes data).
     parts = (df.repartitionByRange(n, *sort_cols, spread)
-               .sortWithinPartitions(*sort_cols)
                .withColumn(_PID, F.spark_partition_id()))
-    out_schema = T.StructType(parts.schema.fields + [T.StructField(_LRANK, T.LongType(), False)])
+    inside = Window.partitionBy(_PID, *keys).orderBy(val_order)
+    parts = parts.withColumn(_LRANK, F.rank().over(inside).cast("long"))
     # The ranked parts are read twice below (rows and per-part summary). They
     # are written once to the shared checkpoint folder, which pins the part
     # ids (a recomputed range shuffle could draw other bounds) and cuts the
     # lineage; being Parquet, the summary reads only the columns it needs.
     staged = scratch_path(spark, "rank")
-    parts.mapInPandas(_local_rank_fn(keys, value), out_schema).write.mode("overwrite").parquet(staged)
+    parts.write.mode("overwrite").parquet(staged)
     local = spark.read.parquet(staged)
 
     key = F.struct(*[F.col(k) for k in keys])
@@ -161,5 +109,5 @@ def rank_within(df: DataFrame, keys: list[str], value: str, out: str = "rank",
     tied = same_key & F.col(value).eqNullSafe(F.col("_first_v"))
     bump = (F.when(same_key, F.coalesce(F.col("_off_k"), F.lit(0))).otherwise(F.lit(0))
             - F.when(tied, F.coalesce(F.col("_off_kv"), F.lit(0))).otherwise(F.lit(0)))
-    return (ranked.withColumn(out, (F.col(_LRANK) + bump).cast("int"))
+    return (ranked.withColumn(out, (F.col(_LRANK) + bump).cast("long"))
                   .drop(_PID, _LRANK, "_first_k", "_first_v", "_off_k", "_off_kv"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from martlet.functions.dates import cycle_of_month
 from martlet.operators.joins import rls_weight
-from martlet.plans.params import Params
+from martlet.plans.params import Params, resolve_user
 from martlet.sources.catalog import Catalog
 
 TERRITORY_MARK = "%CSO%"
@@ -25,7 +25,7 @@ def email_activity(cat: Catalog, params: Params = Params()) -> DataFrame:
     facts = cat.table("f_sent_email_atvy").where(F.col("terr_id").like(TERRITORY_MARK))
     ts = F.col("email_sent_dt").cast("timestamp_ntz")
     w = F.col("_rls_w")
-    rows = (rls_weight(facts, cat.table("rls_user_auth_mast"), params.user)
+    rows = (rls_weight(facts, cat.table("rls_user_auth_mast"), resolve_user(cat, params))
             .select("prod_nm", "terr_id",
                     F.year(ts).alias("_y"), F.month(ts).alias("_m"),
                     F.when(F.col("sent_email_nm").isNotNull(), w).otherwise(F.lit(0)).alias("_sent"),

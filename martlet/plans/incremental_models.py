@@ -65,7 +65,8 @@ def refresh_orders_with_customer(cat: Catalog, target: Target, full_refresh: boo
     orders = cat.table("fct_orders").select("order_id", "customer_id", "order_total", "ordered_at")
     if inc:
         mark = target.mark("ordered_at", mark_default)
-        orders = orders.where(mark_condition("ordered_at", mark, inclusive, lookback_days))
+        if mark is not None:            # a target without rows, or without marks, takes everything
+            orders = orders.where(mark_condition("ordered_at", mark, inclusive, lookback_days))
     batch = lookup(orders, cat.table("dim_customers"), "customer_id", {"name": "customer_name"}, "left")
     _run(target, batch.select(*J15_COLUMNS), inc)
 

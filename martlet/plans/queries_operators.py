@@ -20,13 +20,13 @@ from martlet.operators.setops import union_all, unpivot_structs
 from martlet.plans import email_activity as EM
 from martlet.plans import orders as M
 from martlet.plans import sales_plan as SP
-from martlet.plans.params import Params, resolve_as_of
+from martlet.plans.params import FIXTURE, Params, resolve_as_of
 from martlet.plans.queries_models import (
     AS_OF, HIGH_VALUE, ITEM_TYPE_COUNTS_SQL, ORDERS_WITH_CUSTOMER_SQL, RECENT_CUT, email_sql)
 from martlet.plans.registry import register
 from martlet.sources.catalog import Catalog
 
-P = Params()
+P = FIXTURE
 EXT_SQL = "external_id_vod__c"
 CYCLE_SQL = f"right(split_part({EXT_SQL}, '_', 1), 2)"
 YEAR_SQL = f"split_part({EXT_SQL}, '-', 2)"
@@ -339,7 +339,7 @@ register("f01_rank_over_aggregate", f"""
 SELECT strftime(o.ordered_at, '%Y-%m') AS order_month, oi.product_id,
        round(sum(oi.product_price), 2) AS total_revenue,
        CAST(rank() OVER (PARTITION BY strftime(o.ordered_at, '%Y-%m')
-                         ORDER BY round(sum(oi.product_price), 2) DESC) AS INTEGER) AS rank
+                         ORDER BY round(sum(oi.product_price), 2) DESC) AS BIGINT) AS rank
 FROM fct_orders o JOIN order_items oi ON o.order_id = oi.order_id GROUP BY 1, 2""")(
     lambda cat: M.monthly_product_rank(cat, P))
 
@@ -349,7 +349,7 @@ WITH agg AS (
   SELECT c.name, strftime(o.ordered_at, '%Y') AS order_year, round(sum(o.order_total), 2) AS total_spent
   FROM fct_orders o JOIN dim_customers c ON o.customer_id = c.customer_id GROUP BY 1, 2)
 SELECT name, order_year, total_spent,
-       CAST(rank() OVER (PARTITION BY order_year ORDER BY total_spent DESC) AS INTEGER) AS rank
+       CAST(rank() OVER (PARTITION BY order_year ORDER BY total_spent DESC) AS BIGINT) AS rank
 FROM agg""")
 def _f02(cat: Catalog) -> DataFrame:
     agg = (_o(cat).join(_c(cat), "customer_id")

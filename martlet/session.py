@@ -7,6 +7,7 @@ intermediate data" from the session itself.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -88,6 +89,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="martlet-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -95,10 +98,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or current
 
 
+_scratch: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/martlet-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/martlet-{name}-{uuid.uuid4().hex[:12]}"
+    app = spark.sparkContext.applicationId
+    if app not in _scratch:
+        _scratch[app] = []
+        atexit.register(release_scratch, spark)
+    _scratch[app].append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the session's scratch folders; frames that read them are then void. Runs when the driver ends."""
+    sc = spark.sparkContext
+    if sc._jsc is None:      # already stopped
+        return
+    for path in _scratch.pop(sc.applicationId, []):
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -85,11 +85,11 @@ class Target:
         lay = self.config.layout
         if not self.exists() or not has_data_files(self.spark, self.path):
             return default
-        monotone = lay.partition_field == column and lay.partition_kind in ("day", "month", "date", "range")
+        monotone = lay.partition_field == column and lay.partition_kind in ("day", "month", "date")   # a range layout has an overflow partition too
         values = partition_values(self.spark, self.path, lay.partition_column) if monotone else []
         if not values:
             return high_water_mark(self.read(), column, default)
-        newest = max(values, key=int) if lay.partition_kind == "range" else max(values)
+        newest = max(values)
         part = (self.spark.read.option("basePath", self.path)
                 .parquet(f"{self.path}/{lay.partition_column}={newest}"))
         if column == lay.partition_column:
@@ -146,6 +146,11 @@ class Target:
             return
 
         keys = list(cfg.unique_key)
+        if cfg.strategy == "merge":     # merge keeps one row a key; delete+insert keeps every batch row
+            twice = batch.groupBy(*keys).count().where("count > 1").head(1)
+            if twice:
+                delete_path(self.spark, batch_path)
+                raise ValueError(f"merge batch has several rows for one key, e.g. {twice[0]}; give dedupe_by")
         # Partitions to rebuild: those of the batch, and those where an existing
         # row carries a batch key (a key that moved partition). Only partition
         # values reach the driver - a metadata-sized list.

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martlet.operators.incremental import (
-    SchemaChangeError, align_schema, dedupe_latest, high_water_mark, mark_condition, merge_rows)
+    SchemaChangeError, after_per_key_mark, per_key_marks, align_schema, dedupe_latest, high_water_mark, mark_condition, merge_rows)
 from martlet.session import scratch_path
 from martlet.sources.sinks import Layout
 from martlet.sources.target import IncrementalConfig, Target
@@ -50,7 +50,7 @@ def test_mark_variants(spark):
     assert ids(mark_condition("ordered_at", mark, lookback_days=3)) == [1, 2, 3]
 
 
-def test_dedupe_latest_and_merge(spark):
+def test_dedupe_latest_and_delete_insert(spark):
     batch = _df(spark, [(1, 1.0, ts(1)), (1, 2.0, ts(2)), (2, 5.0, ts(1))])
     d = sorted((r.order_id, r.amount) for r in dedupe_latest(batch, ["order_id"], ["ordered_at"]).collect())
     assert d == [(1, 2.0), (2, 5.0)]
@@ -136,3 +136,24 @@ def test_mark_reads_only_the_newest_partition(spark):
                      _cfg(layout=Layout(partition_field="ordered_at", partition_kind="month")))
     monthly.apply(_df(spark, [(1, 1.0, ts(1)), (2, 2.0, ts(20, 3))]))
     assert monthly.mark("ordered_at") == ts(20, 3)
+
+
+def test_null_keys_have_a_mark(spark):
+    rows = spark.createDataFrame([(None, 1), ("a", 1)], "k string, t int")
+    marks = per_key_marks(rows, ["k"], "t")
+    assert after_per_key_mark(rows, marks, ["k"], "t").count() == 0
+    assert after_per_key_mark(rows.withColumn("t", F.lit(2)), marks, ["k"], "t").count() == 2
+
+
+def test_merge_refuses_duplicate_keys(spark):
+    t = Target(spark, scratch_path(spark, "t-dup"), _cfg())
+    t.load_full(_df(spark, [(1, 1.0, ts(1))]))
+    with pytest.raises(ValueError, match="several rows"):
+        t.apply(_df(spark, [(1, 2.0, ts(2)), (1, 3.0, ts(2))]))
+    assert t.read().count() == 1
+
+
+def test_defaults_are_the_models_own():
+    from martlet.plans.params import Params
+    p = Params()
+    assert (p.price_min, p.spend_min, p.as_of, p.user) == (20.0, 500.0, None, None)

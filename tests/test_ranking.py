@@ -8,7 +8,7 @@ from martlet.operators.ranking import rank_within
 
 def _expected(df, keys, value, descending=True):
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
-    return df.withColumn("rank", F.rank().over(Window.partitionBy(*keys).orderBy(order)))
+    return df.withColumn("rank", F.rank().over(Window.partitionBy(*keys).orderBy(order)).cast("long"))
 
 
 def _same(a, b):
@@ -47,7 +47,7 @@ def test_rank_keeps_schema(spark):
     df = spark.createDataFrame([("m", 1.0, 1)], "k string, v double, id long")
     got = rank_within(df, ["k"], "v")
     assert got.columns == ["k", "v", "id", "rank"]
-    assert dict(got.dtypes)["rank"] == "int"
+    assert dict(got.dtypes)["rank"] == "bigint"
 
 
 def test_huge_tie_group_spreads_and_ranks_right(spark):
@@ -59,3 +59,10 @@ def test_huge_tie_group_spreads_and_ranks_right(spark):
     assert _same(got, _expected(df, ["k"], "v"))
     asc = rank_within(df, ["k"], "v", "rank", descending=False, num_partitions=9)
     assert _same(asc, _expected(df, ["k"], "v", descending=False))
+
+
+def test_longs_beside_nulls_are_kept(spark):
+    big = 9007199254740993                                   # no double holds it
+    df = spark.createDataFrame([("a", 1, big), ("a", 2, None), ("a", 2, big + 2)], "k string, v int, x long")
+    got = sorted((r.v, r.x or 0, r.rank) for r in rank_within(df, ["k"], "v", "rank", num_partitions=3).collect())
+    assert got == [(1, big, 3), (2, 0, 1), (2, big + 2, 1)]
