@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from martlet.llm import words as W
-from martlet.llm.tables import task
+from martlet.llm.tables import task, trim
 
 #: Labelled documents of a class that the models are fitted on, at most.
 PER_CLASS = 3000
@@ -97,44 +97,48 @@ class Grams:
 
 
 def _known(text: np.ndarray, depth: np.ndarray, weight: np.ndarray):
-    """Per order (gram keys, context keys, counts): highest orders and word starts by occurrence, others by distinct continuation."""
-    keys = {order: (at, key) for order, at, key in _gram_keys(text, depth)}
-    found = {}
-    for order, (at, key) in keys.items():
-        own, index = np.unique(key, return_index=True)
-        context = np.zeros(len(own), np.uint64)
-        if order > 1:
-            low = np.zeros(len(text), np.uint64)
-            low_at, low_key = keys[order - 1]
-            low[low_at] = low_key
-            context = low[at[index] - 1]
+    """Order by order (gram keys, context keys, tail keys, whether it begins a word, occurrences)."""
+    low = np.zeros(len(text), np.uint64)
+    for order, at, key in _gram_keys(text, depth):
+        own, index, member = np.unique(key, return_index=True, return_inverse=True)
+        context, tail = (low[at[index] - 1], low[at[index]]) if order > 1 else (np.zeros(len(own), np.uint64),) * 2
         starts = depth[at[index]] == order - 1                       # begins with the start mark: nothing can precede it
-        count = np.zeros(len(own))
-        np.add.at(count, np.searchsorted(own, key), weight[at])
-        if order < ORDER:
-            up_at, up_key = keys[order + 1]
-            _, one = np.unique(up_key, return_index=True)
-            low = np.zeros(len(text), np.uint64)
-            low[at] = key
-            tail = low[up_at[one]]                                    # the gram without its first byte
-            distinct = np.bincount(np.searchsorted(own, tail), minlength=len(own))
+        yield own, context, tail, starts, np.bincount(member, weights=weight[at], minlength=len(own))
+        low[:] = 0
+        low[at] = key
+
+
+def _merged(one: tuple, other: tuple) -> tuple:
+    """Grams of two texts of one order as those of both texts together."""
+    keys, context, tail, starts, count = (np.concatenate(x) for x in zip(one, other))
+    own, index, member = np.unique(keys, return_index=True, return_inverse=True)
+    return own, context[index], tail[index], starts[index], np.bincount(member, weights=count, minlength=len(own))
+
+
+def _counts(grams: list[tuple]) -> list[tuple]:
+    """Per order (gram keys, context keys, tail keys, counts): highest order and word starts by occurrence, others by distinct
+    continuation, the number of the next order's grams with this tail."""
+    found = []
+    for (own, context, tail, starts, count), up in zip(grams, [*grams[1:], None]):
+        if up is not None:
+            distinct = np.bincount(np.searchsorted(own, up[2]), minlength=len(own))
             count = np.where(starts, count, np.maximum(distinct, 1))
-        found[order] = own, context, count
+        found.append((own, context, tail, count))
     return found
 
 
 def _estimate(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Grams:
     """Kneser-Ney estimates of two classes, orders up to SHARED from both together. A text is (bytes, depths, weights)."""
-    both = tuple(np.concatenate(x) for x in zip(*texts))
-    shared = _known(*both)
-    classes = [_known(*text) for text in texts]
+    grams = [list(_known(*text)) for text in texts]
+    shared = _counts([_merged(*own) for own in list(zip(*grams))[:SHARED + 1]])
+    classes = [_counts(own) for own in grams]
     table: dict[str, list] = {"keys": [], "values": []}
     lower: list[tuple[np.ndarray, np.ndarray]] = []
     backoffs: list[list[tuple[np.ndarray, np.ndarray]]] = []
     for order in range(1, ORDER + 1):
-        use = [shared[order]] * 2 if order <= SHARED else [c[order] for c in classes]
+        use = [shared[order - 1]] * 2 if order <= SHARED else [c[order - 1] for c in classes]
         now = []
-        for c, (own, context, count) in enumerate(use):
+        for c, (own, context, tail, count) in enumerate(use):
             groups, member = np.unique(context, return_inverse=True)
             total = np.bincount(member, weights=count)
             types = np.bincount(member)
@@ -142,7 +146,7 @@ def _estimate(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Grams:
                 base = np.full(len(own), 1 / 256)
             else:                                                     # probability of the gram without its first byte
                 keys, p = lower[c]
-                base = p[np.minimum(np.searchsorted(keys, _tails(both[:2], order, own)), len(keys) - 1)]
+                base = p[np.minimum(np.searchsorted(keys, tail), len(keys) - 1)]
             weight = DISCOUNT * types / total
             now.append((own, np.maximum(count - DISCOUNT, 0) / total[member] + weight[member] * base, groups, weight))
         lower = [(own, p) for own, p, _, _ in now]
@@ -161,16 +165,6 @@ def _estimate(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Grams:
     return Grams(np.concatenate(table["keys"]), np.concatenate(table["values"]))
 
 
-def _tails(both: tuple[np.ndarray, np.ndarray], order: int, own: np.ndarray) -> np.ndarray:
-    """For grams of an order, the keys of their last order-1 bytes."""
-    keys = {o: (at, key) for o, at, key in _gram_keys(*both) if o in (order - 1, order)}
-    at, key = keys[order]
-    sorted_keys, index = np.unique(key, return_index=True)
-    low = np.zeros(len(both[0]), np.uint64)
-    low[keys[order - 1][0]] = keys[order - 1][1]
-    return low[at[index]][np.searchsorted(sorted_keys, own)]
-
-
 def evidence(table: Grams, data: np.ndarray, ws: np.ndarray, we: np.ndarray) -> np.ndarray:
     """Toxic less ordinary log-likelihood of each word, per byte."""
     text, depth = _spell(data, ws, we)
@@ -259,20 +253,37 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return b
 
 
+def _parts(texts):
+    """The texts as arrays of about a megabyte, which bounds the memory of fitting."""
+    batch = pa.record_batch([pa.array(texts, pa.string())], names=["text"])
+    return [part.column(0) for part in W.blocks(batch, "text")]
+
+
+def _spelled(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, depths, weights) of the texts' words: each word once, in the order of hashes, with its count as weight."""
+    found: dict[int, tuple[bytes, int]] = {}
+    for part in _parts(texts):
+        data, off = W.utf8(part)
+        ws, we, _ = W.word_spans(data, off, _LETTERS)
+        own, one, count = np.unique(W.word_hashes(data, ws, we, fold=True), return_index=True, return_counts=True)
+        for h, a, b, n in zip(own.tolist(), ws[one].tolist(), we[one].tolist(), count.tolist()):
+            word, before = found.get(h) or (data[a:b].tobytes(), 0)
+            found[h] = word, before + n
+    words, counts = zip(*(found[h] for h in sorted(found))) if found else ((), ())
+    data, off = W.utf8(pa.array(words, pa.binary()))
+    return *_spell(data, off[:-1], off[1:]), np.repeat(np.array(counts, float), np.diff(off) + 2)
+
+
 def fit(texts: list[str | None], toxic: np.ndarray, held: np.ndarray) -> Model:
     """Models from the rows that aren't ``held``; the curve from those that are."""
-    spelled = []
-    for label in (1, 0):
-        data, off = W.utf8(pa.array([t for t, y, h in zip(texts, toxic, held) if y == label and not h], pa.string()))
-        ws, we, _ = W.word_spans(data, off, _LETTERS)
-        _, one, count = np.unique(W.word_hashes(data, ws, we, fold=True), return_index=True, return_counts=True)
-        ws, we = ws[one], we[one]                                      # each word once, with its count as weight
-        spelled.append((*_spell(data, ws, we), np.repeat(count, we - ws + 2).astype(float)))
+    spelled = [_spelled(t for t, y, h in zip(texts, toxic, held) if y == label and not h) for label in (1, 0)]
     if min(len(t[0]) for t in spelled) == 0 or len(set(toxic[held])) < 2:     # nothing to tell classes by: the share of toxic rows
         share = (toxic.sum() + 0.5) / (len(toxic) + 1)
         return Model(Grams(np.zeros(0, np.uint64), np.zeros((0, 4), np.float32)), np.zeros(3), np.ones(3), np.array([np.log(share / (1 - share)), 0, 0, 0]))
     model = Model(_estimate(spelled), np.zeros(3), np.ones(3), np.zeros(4))
-    x = model.features(pa.array([t for t, h in zip(texts, held) if h], pa.string()))
+    x = np.concatenate([model.features(part) for part in _parts(t for t, h in zip(texts, held) if h)])
+    model.seen = None
+    trim()
     model.mean, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     model.curve = _logistic((x - model.mean) / model.scale, toxic[held])
     return model
