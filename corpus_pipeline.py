@@ -16,6 +16,8 @@ from martlet.llm.tables import documents, store
 
 #: Mean probability of the predicted language under which a document has no language.
 MIN_SCORE = 0.3
+#: Similarity, in percent, from which documents are near copies here (op3's own contract says 85).
+NEAR = 80
 
 
 def _by_id(docs: DataFrame, told: DataFrame) -> DataFrame:
@@ -43,7 +45,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the least id."""
     prepare(spark)
-    gone = near_dedup.near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("_key")).distinct()
+    gone = near_dedup.near_duplicates(docs, percent=NEAR).filter("not kept").select(F.col("doc_id").alias("_key")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("_key"), "left_anti")
 
 

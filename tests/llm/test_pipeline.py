@@ -1,5 +1,5 @@
 import corpus_pipeline as C
-from martlet.llm import decontaminate
+from martlet.llm import decontaminate, near_dedup
 from martlet.llm.tables import store
 
 
@@ -25,3 +25,15 @@ def test_contamination_with_short_items_and_empty_tables(spark, docs, empty):
     assert got[3] == got[4] == got[5] == (2, 1) and got[40] == (600, 1) and got[0] == (0, 0)
     assert decontaminate.contamination(empty, items).count() == 0
     assert decontaminate.contamination(docs, items.limit(0)).filter("contaminated").count() == 0
+
+
+def test_near_copies_between_80_and_85_percent_go(spark):
+    plain = [f"w{i}" for i in range(200)]
+    near, far = plain.copy(), plain.copy()
+    for k in range(4):                                 # 176 of 216 shingles are shared: 81.5 %
+        near[20 + 40 * k] = "x"
+    for k in range(5):                                 # 171 of 221: 77.4 %
+        far[20 + 40 * k - (k == 4) * 10] = f"y{k}"
+    pair = spark.createDataFrame([(1, " ".join(plain)), (2, " ".join(near)), (3, " ".join(far))], "doc_id long, text string")
+    assert {r.doc_id for r in C.drop_near_duplicates(spark, pair, "").collect()} == {1, 3}
+    assert near_dedup.near_duplicates(pair).filter("kept").count() == 3
