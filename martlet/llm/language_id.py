@@ -3,8 +3,8 @@
 A text is cut into runs of ``SPAN`` bytes. In each run one gated recurrent layer reads
 forwards and one backwards; from both states every byte gets probabilities of the
 languages, and a document's probabilities are the mean over all its bytes. The network is
-trained in numpy by backpropagation through time on a bounded sample of documents whose
-language is known; its weights are a few kilobytes. Prediction is one pass over the texts.
+trained in numpy by backpropagation through time on a bounded sample of the documents of
+every known language; its weights are a few kilobytes. Prediction is one pass over the texts.
 """
 
 from __future__ import annotations
@@ -19,8 +19,10 @@ from martlet.llm.tables import task
 #: Bytes that the network reads at once, and runs that are computed together.
 SPAN, LANES = 64, 2048
 HIDDEN = 8
-#: Bounds of training: languages (most frequent first), documents and runs of each.
-LANGUAGES, PER_LANGUAGE, RUNS = 64, 400, 1600
+#: Bounds of training: documents and runs of each language.
+PER_LANGUAGE, RUNS = 400, 1600
+#: Languages from which on fewer runs are computed together.
+MANY = 64
 EPOCHS, BATCH, RATE = 5, 128, 0.02
 
 
@@ -58,8 +60,9 @@ class Network:
         doc, start, size = spans(data, off)
         out = np.zeros((len(off) - 1, len(self.languages)))
         order = np.argsort(-size, kind="stable")
-        for i in range(0, len(order), LANES):
-            lanes = order[i:i + LANES]
+        together = max(1, LANES * MANY // max(MANY, len(self.languages)))
+        for i in range(0, len(order), together):
+            lanes = order[i:i + together]
             p = self._lanes(data, start[lanes], size[lanes])
             np.add.at(out, doc[lanes], p)
         return out / np.maximum(1, np.diff(off))[:, None]
@@ -100,34 +103,43 @@ class Network:
         return logits.sum(axis=0)
 
     def gradients(self, data, start, size, label) -> tuple[float, dict]:
-        """Mean loss over all bytes of full-length runs, and its gradients by backpropagation through time."""
-        h, n, steps = HIDDEN, len(start), int(size[0])
+        """Mean loss over all bytes of the runs, and its gradients by backpropagation through time.
+
+        Steps past a run's end are computed like others; they come after the run's own and their
+        part of the loss is masked, so nothing flows back from them.
+        """
+        h, n, steps = HIDDEN, len(start), int(size.max())
         w, texts, kept = self.w, _rows(data, start, size), []
         y = np.tile(w["b"], (steps, n, 1))
+        step, lane = np.arange(steps)[:, None], np.arange(n)
+        live = step < size
+        mirror = np.where(live, size - 1 - step, step)                 # byte of a step backwards, and the step of a byte
         for d, text in enumerate(texts):
             s = np.zeros((n, h), np.float32)
             states, gates, cands, rec = [s], [], [], []
             for t in range(steps):
+                at = t if d == 0 else mirror[t]
                 a, r = w["x"][d][text[t]], s @ w["u"][d]
                 g = 1 / (1 + np.exp(-(a[:, :2 * h] + r[:, :2 * h])))
                 c = np.tanh(a[:, 2 * h:] + g[:, :h] * r[:, 2 * h:])
                 s = c + g[:, h:] * (s - c)
                 states.append(s), gates.append(g), cands.append(c), rec.append(r[:, 2 * h:])
-                y[t if d == 0 else steps - 1 - t] += s @ w["o"][d]
+                y[at, lane] += s @ w["o"][d]
             kept.append((states, gates, cands, rec))
         y -= y.max(axis=2, keepdims=True)
         p = np.exp(y)
         p /= p.sum(axis=2, keepdims=True)
-        loss = -np.log(np.maximum(p[:, np.arange(n), label], 1e-9)).mean()
-        p[:, np.arange(n), label] -= 1
-        dy = p / (steps * n)
+        loss = -np.log(np.maximum(p[:, lane, label], 1e-9))[live].mean()
+        p[:, lane, label] -= 1
+        p[~live] = 0
+        dy = p / live.sum()
         grad = {k: np.zeros_like(v) for k, v in w.items()}
         grad["b"] = dy.sum(axis=(0, 1))
         for d, text in enumerate(texts):
             states, gates, cands, rec = kept[d]
             ds, da_all = np.zeros((n, h), np.float32), np.zeros((steps, n, 3 * h), np.float32)
             for t in range(steps - 1, -1, -1):
-                out = dy[t if d == 0 else steps - 1 - t]
+                out = dy[t if d == 0 else mirror[t], lane]
                 grad["o"][d] += states[t + 1].T @ out
                 ds = ds + out @ w["o"][d].T
                 g, c, before = gates[t], cands[t], states[t]
@@ -145,19 +157,18 @@ class Network:
 
 
 def fit(texts: list[str], languages: list[str], seed: int = 7) -> Network:
-    """Train on equally many runs of each language (Adam, falling rate)."""
-    names = sorted(set(languages))
+    """Train on equally many runs of each language that has a byte of text, last and shorter runs included (Adam, falling rate)."""
+    names = sorted({x for x, t in zip(languages, texts) if t}) or ["und"]
     net, rng = Network(names, seed), np.random.default_rng(seed)
     if len(names) < 2:
         return net
     data, off = W.utf8(pa.array(texts, pa.string()))
     doc, start, size = spans(data, off)
-    own = np.array([names.index(x) for x in languages])[doc]
-    full = size == SPAN
-    picked = [rng.choice(at, RUNS, replace=len(at) < RUNS) for k in range(len(names)) if len(at := np.flatnonzero(full & (own == k)))]
-    if not picked:
-        return net
-    runs = np.concatenate(picked)
+    number = {x: k for k, x in enumerate(names)}
+    own = np.array([number.get(x, -1) for x in languages])[doc]         # texts without bytes have no runs
+    order = np.argsort(own, kind="stable")
+    edges = np.searchsorted(own[order], np.arange(len(names) + 1))
+    runs = np.concatenate([rng.choice(at, RUNS, replace=len(at) < RUNS) for at in np.split(order, edges[1:-1])])
     m, v = ({k: np.zeros_like(x) for k, x in net.w.items()} for _ in range(2))
     total, i = EPOCHS * -(-len(runs) // BATCH), 0
     for _ in range(EPOCHS):
@@ -179,19 +190,16 @@ def fit(texts: list[str], languages: list[str], seed: int = 7) -> Network:
 def train(docs: DataFrame) -> Network:
     """Fit on rows of ``docs`` (doc_id, text, lang); rows without id, text or language are left out.
 
-    The sample is drawn by a hash of the id: at most PER_LANGUAGE documents of each of
-    the LANGUAGES most frequent languages.
+    The sample is drawn by a hash of the id: at most PER_LANGUAGE documents of each
+    language. Every language with a text that isn't empty is learnt, however rare it is.
     """
-    known = docs.filter("text is not null and lang is not null and doc_id is not null").select("doc_id", "text", "lang")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
-        return Network(["und"])
-    share = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.5 * PER_LANGUAGE / n))]), F.col("lang"))
+    known = docs.filter("text <> '' and lang is not null and doc_id is not null").select("doc_id", "text", "lang")
+    share = known.groupBy(F.col("lang").alias("of")).agg(F.least(F.lit(1.0), 1.5 * PER_LANGUAGE / F.count("*")).alias("share"))
     order = F.xxhash64(F.lit("language"), "doc_id")
-    drawn = (known.select("doc_id", "lang").filter(F.col("lang").isin(list(counts))).filter(F.pmod(order, F.lit(1 << 20)) < share * (1 << 20))
+    drawn = (known.select("doc_id", "lang").join(F.broadcast(share), F.col("lang") == F.col("of")).filter(F.pmod(order, F.lit(1 << 20)) < F.col("share") * (1 << 20))
              .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))).filter(F.col("place") <= PER_LANGUAGE)
-             .select(F.col("doc_id").alias("id")).distinct())
-    rows = sorted(known.join(F.broadcast(drawn), F.col("doc_id") == F.col("id")).select("doc_id", "text", "lang").collect())
+             .select(F.col("doc_id").alias("id"), F.col("lang").alias("of")).distinct())
+    rows = sorted(known.join(F.broadcast(drawn), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of"))).select("doc_id", "text", "lang").collect())
     return fit([r["text"] for r in rows], [r["lang"] for r in rows])
 
 

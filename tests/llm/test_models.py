@@ -45,6 +45,38 @@ def test_network_gradients_by_differences():
         assert abs((losses[0] - losses[1]) / (2 * step) - grad[key][at]) < 1e-4
 
 
+def test_network_gradients_of_runs_of_several_lengths():
+    net = language_id.Network(["a", "b"], seed=3)
+    net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
+    data = np.frombuffer(b"the cat sat on a mat, der hund lief weg und", np.uint8)
+    start, size, label = np.array([0, 11, 22]), np.array([4, 9, 1]), np.array([0, 1, 1])
+    loss, grad = net.gradients(data, start, size, label)
+    alone = [net.gradients(data, start[i:i + 1], size[i:i + 1], label[i:i + 1])[0] for i in range(3)]
+    assert math.isclose(loss, np.average(alone, weights=size), rel_tol=1e-6)
+    for key, at in (("u", (0, 1, 2)), ("u", (1, 0, 20)), ("o", (1, 2, 1)), ("b", (0,)), ("x", (0, ord("t"), 5)), ("x", (1, ord("d"), 9))):
+        own, step = net.w[key][at], 1e-4
+        losses = []
+        for x in (own + step, own - step):
+            net.w[key][at] = x
+            losses.append(net.gradients(data, start, size, label)[0])
+        net.w[key][at] = own
+        assert abs((losses[0] - losses[1]) / (2 * step) - grad[key][at]) < 1e-4
+
+
+def test_short_texts_alone_train_the_network():
+    texts = ["the cat sat on it", "a dog and the hat"] * 20 + ["der hund lief weg", "und das ist gut"] * 20
+    net = language_id.fit(texts, ["en"] * 40 + ["de"] * 40)
+    p = net.predict(pa.array(["the hat and a cat", "das ist der hund"], pa.string()))
+    assert [net.languages[k] for k in p.argmax(axis=1)] == ["en", "de"] and p.max(axis=1).min() > 0.8
+
+
+def test_languages_beyond_the_64th_are_learnt(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "EPOCHS", 0)
+    made = [(100 * k + i, "some text", f"l{k:02}") for k in range(70) for i in range(2 - (k == 69))]
+    net = language_id.train(spark.createDataFrame([*made, (9000, "", "none"), (9001, "x", None)], "doc_id long, text string, lang string"))
+    assert net.languages == [f"l{k:02}" for k in range(70)]
+
+
 def test_language_id_held_out(spark, docs, empty):
     rows = QUERIES["op2_language_id"](spark, "/root/testdata/sf0.01")
     lang = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
