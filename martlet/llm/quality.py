@@ -6,12 +6,20 @@ between 0 and 1). References are counted over all documents of the language: its
 ``COMMON`` most frequent words with all others in one bin, and its character classes.
 Languages with less than 1 / ``LANGUAGES`` of the documents share one reference, so there
 are at most LANGUAGES + 1 references and they are small enough to send to every task.
-A distance counts only for documents with at least ``MIN_WORDS`` words, as
-short texts scatter widely; plain length and repetition rules come first.
+Plain length and repetition rules come first; all texts that pass them are judged.
+
+The bounds on words come from each reference. A text without any of its common words has a
+fixed distance; the squared bound is the share ``FAR_SHARE`` of that squared, widened by what
+sampling alone adds to a text of n words, which falls with 1 / n. Short texts scatter so
+widely that this can't reject one without common words, so a text is rejected as well
+when it has less than half the reference's share of common words and so few are
+improbable (Chernoff's bound under e ** -``FEW``) at its length.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from martlet.llm.native import let, upto, words
@@ -20,7 +28,7 @@ from martlet.llm.tables import store
 LANGUAGES, COMMON = 200, 50
 #: Words under a share of 1 / RARE of a language's words aren't candidates for its common words.
 RARE = 2000
-MIN_WORDS, MAX_WORD_DISTANCE, MAX_CHAR_DISTANCE = 100, 0.45, 0.25
+FAR_SHARE, FEW, MAX_CHAR_DISTANCE = 0.3, 6.0, 0.25
 REPEAT = 8
 CLASSES = {"upper": "[A-Z]", "digit": "[0-9]", "punctuation": "[!-/:-@\\[-`{-~]"}
 
@@ -64,12 +72,19 @@ def _term(p: Column, q: Column) -> Column:
     return (F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0) + F.when(q > 0, q * F.log2(2 * q / (p + q))).otherwise(0.0)) / 2
 
 
+def _unlike(n: Column, share: Column, mass: Column, common: Column, squared: Column) -> Column:
+    """Whether a text of ``n`` words isn't in its reference's language, by the squared distance and the share of common words."""
+    none = mass / 2 + _term(F.lit(1.0), F.greatest(F.lit(0.0), 1 - mass))
+    few = F.when(share > 0, share * F.log(share / mass)).otherwise(0.0) + (1 - share) * F.log((1 - share) / (1 - mass))
+    return F.when((mass > 0) & (mass < 1), (squared > FAR_SHARE * none + common / (8 * math.log(2) * n)) | ((2 * share < mass) & (n * few > FEW))).otherwise(F.lit(False))
+
+
 def assess(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, word_distance, char_distance).
 
     ``docs`` has doc_id, text and lang; other columns are ignored. A document fails the plain
     rules with fewer than 20 words, or with more than 30 % of its words in repeated windows.
-    It isn't kept if it fails these, or has MIN_WORDS words and a distance over its bound.
+    It isn't kept if it fails these, has a distance over its bound, or lacks its language's common words.
     Null texts have no words; a document of unknown language is compared with the shared
     reference. Every row is judged by itself, repeated ones and those without id too. An empty table gives an empty result.
     """
@@ -112,9 +127,12 @@ def assess(docs: DataFrame) -> DataFrame:
     word_js = let(shared, lambda xs: sum_of(xs, lambda x: _term(x["p"], x["q"]) - x["q"] / 2) + F.col("ref_mass_words") / 2
                   + _term(F.greatest(F.lit(0.0), 1 - sum_of(xs, lambda x: x["p"])), F.greatest(F.lit(0.0), 1 - F.col("ref_mass_words"))))
     judged = (joined.withColumn("mass", mass).withColumn("ref_mass", ref_mass).withColumn("ref_mass_words", sum_of(F.coalesce("ref_shares", F.array().cast("array<double>")), lambda q: q))
+              .withColumn("common_share", F.least(F.lit(1.0), F.when(F.col("n_words") > 0, sum_of(shared, lambda x: x["p"])).otherwise(0.0)))
+              .withColumn("squared", F.greatest(F.lit(0.0), word_js))
               .withColumn("char_distance", F.when(F.col("n_words") > 0, F.sqrt(F.greatest(F.lit(0.0), char_js))).otherwise(0.0))
-              .withColumn("word_distance", F.when(F.col("n_words") > 0, F.sqrt(F.greatest(F.lit(0.0), word_js))).otherwise(0.0)))
+              .withColumn("word_distance", F.when(F.col("n_words") > 0, F.sqrt("squared")).otherwise(0.0)))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    far = (F.col("n_words") >= MIN_WORDS) & ((F.col("word_distance") > MAX_WORD_DISTANCE) | (F.col("char_distance") > MAX_CHAR_DISTANCE))
+    unlike = _unlike(F.col("n_words"), F.col("common_share"), F.col("ref_mass_words"), F.size(F.coalesce("ref_shares", F.array().cast("array<double>"))), F.col("squared"))
+    far = ~failed & (unlike | (F.col("char_distance") > MAX_CHAR_DISTANCE))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"),
                          "word_distance", "char_distance")

@@ -1,5 +1,6 @@
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -163,6 +164,23 @@ def test_quality_counts_against_brute_force(docs, texts, empty):
     assert quality.assess(empty).count() == 0
 
 
+def test_quality_verdicts_on_texts_of_the_wrong_language(spark):
+    rnd = random.Random(5)
+
+    def text(lang, n):
+        return " ".join(f"{lang}{rnd.randint(1, 60)}" if rnd.random() < 0.3 else "".join(rnd.choice("abcdefghij") for _ in range(7)) for _ in range(n))
+
+    sizes = (25, 40, 80, 150, 400, 2000)
+    rows = [(i, text("ab"[i % 2], rnd.choice(sizes)), "ab"[i % 2]) for i in range(600)]
+    rows += [(1000 + 10 * k + j, text("ab"[j % 2], n), "ba"[j % 2]) for k, n in enumerate(sizes) for j in range(2)]
+    rows.append((2000, " ".join([f"a{i}" for i in range(1, 13)] + ["#" * i for i in range(5, 23)]), "a"))
+    got = {r.doc_id: r for r in quality.assess(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert sum(got[i].kept for i in range(600)) >= 594
+    assert [i for i, r in got.items() if i >= 1000 and r.kept] == []
+    assert got[2000].n_words == 30 and got[2000].char_distance > 0.25
+
+
 def test_word_hashes_are_split_like_the_pattern(texts):
     from martlet.llm import words as W
     data, off = W.utf8(pa.array([t for _, t in texts], pa.string()))
