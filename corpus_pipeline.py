@@ -18,6 +18,8 @@ from martlet.llm.tables import documents, store
 MIN_SCORE = 0.3
 #: Similarity, in percent, from which documents are near copies here (op3's own contract says 85).
 NEAR = 80
+#: Words from which on a repeated passage of one or two lines goes too (op7's SQL has three lines or more).
+PASSAGE = 50
 
 
 def _by_id(docs: DataFrame, told: DataFrame) -> DataFrame:
@@ -35,8 +37,8 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeated runs of lines go; a document of which no line is left goes too. ``n_chars`` follows the text."""
-    later = line_dedup.remove_runs(docs).filter("n_removed > 0").select(F.col("doc_id").alias("_key"), F.col("text").alias("_text"), (F.col("n_removed") == F.col("n_lines")).alias("_empty"))
+    """Later repeated runs of three lines, or of fewer with PASSAGE words, go; a document of which no line is left goes too. ``n_chars`` follows the text."""
+    later = line_dedup.remove_runs(docs, least=PASSAGE).filter("n_removed > 0").select(F.col("doc_id").alias("_key"), F.col("text").alias("_text"), (F.col("n_removed") == F.col("n_lines")).alias("_empty"))
     joined = _by_id(docs, later.dropDuplicates(["_key"])).filter("_empty is null or not _empty")
     new = {"text": F.coalesce("_text", "text"), "n_chars": F.when(F.col("_text").isNotNull(), F.char_length("_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)}
     return joined.withColumns(new).select(*docs.columns)

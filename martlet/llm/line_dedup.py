@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martlet.llm.native import let, upto, winnowed
+from martlet.llm.native import let, upto, winnowed, words
 
 RUN = 3
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -46,21 +46,43 @@ def later_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     return (placed.join(first, ["fp", "hash"]).filter("place > first").groupBy("doc_id").agg(F.collect_set("at").alias("starts")))
 
 
-def remove_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
+def later_passages(docs: DataFrame, run: int, least: int) -> DataFrame:
+    """(doc_id, passages): structs (at, size) of runs of fewer than ``run`` lines with ``least`` words or more that stand earlier too."""
+    worded = F.filter(F.transform(_lines(F.col("text")), lambda x: F.struct(x.alias("line"), F.size(words(x)).alias("n"))), lambda x: x["n"] > 0)
+    def of_size(xs: Column, size: int) -> Column:
+        long = F.filter(upto(F.size(xs) - (size - 1)), lambda i: sum(F.get(xs, i - 1 + k)["n"] for k in range(size)) >= least)
+        return F.transform(long, lambda i: F.struct(i.alias("at"), F.lit(size).alias("size"), F.xxhash64(F.lit(size), F.transform(F.slice(xs, i, size), lambda x: x["line"])).alias("hash")))
+    found = let(worded, lambda xs: F.concat(*[of_size(xs, size) for size in range(1, run)]))
+    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("at")
+    placed = (docs.filter("doc_id is not null").select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.at", "f.size", "f.hash")
+              .withColumn("place", place.cast("decimal(31,0)")))
+    first = placed.groupBy("hash").agg(F.min("place").alias("first"), F.max("place").alias("last")).filter("first < last").select("hash", "first")
+    return placed.join(first, "hash").filter("place > first").groupBy("doc_id").agg(F.collect_set(F.struct("at", "size")).alias("passages"))
+
+
+def remove_runs(docs: DataFrame, run: int = RUN, least: int | None = None) -> DataFrame:
     """(doc_id, n_lines, n_removed, text): every row with its text less the lines of later runs.
 
     ``docs`` has doc_id and text (a name's other columns are ignored); ``n_lines`` counts lines
     with a word. Texts in which nothing repeats come back unchanged, nulls as null. Documents
-    of fewer than ``run`` lines lose nothing. Rows of one id are one document: repeated rows
+    of fewer than ``run`` lines lose nothing, unless ``least`` is given: then shorter runs that
+    hold ``least`` words or more count as well. Rows of one id are one document: repeated rows
     get equal results. Rows without id neither lose lines nor count as earlier. An empty
     table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     later = later_runs(docs, run).withColumnRenamed("doc_id", "id")
     joined = docs.join(later.hint("shuffle_hash"), F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "starts")
+    if least is not None:
+        short = later_passages(docs, run, least).withColumnRenamed("doc_id", "id")
+        joined = joined.join(short.hint("shuffle_hash"), F.col("doc_id") == F.col("id"), "left").drop("id")
     lines = joined.withColumn("lines", _lines(F.col("text"))).withColumn("worded", _worded(F.col("lines")))
+    none = F.array().cast("array<int>")
     gone = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.slice("worded", s, run))))
-    gone = F.when(F.col("starts").isNotNull(), gone).otherwise(F.array().cast("array<int>"))
+    gone = F.when(F.col("starts").isNotNull(), gone).otherwise(none)
+    if least is not None:
+        more = F.flatten(F.transform("passages", lambda x: F.slice(F.col("worded"), x["at"], x["size"])))
+        gone = F.array_distinct(F.concat(gone, F.coalesce(more, none)))
     kept = let(F.array_except(F.sequence(F.lit(1), F.size("lines")), F.col("gone")), lambda at: F.array_join(F.transform(at, lambda i: F.get(F.col("lines"), i - 1)), "\n"))
     return (lines.withColumn("gone", gone)
             .select("doc_id", F.size("worded").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"),

@@ -37,3 +37,12 @@ def test_near_copies_between_80_and_85_percent_go(spark):
     pair = spark.createDataFrame([(1, " ".join(plain)), (2, " ".join(near)), (3, " ".join(far))], "doc_id long, text string")
     assert {r.doc_id for r in C.drop_near_duplicates(spark, pair, "").collect()} == {1, 3}
     assert near_dedup.near_duplicates(pair).filter("kept").count() == 3
+
+
+def test_long_passages_of_one_or_two_lines_go(spark):
+    long, a, b, short = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("l", 50), ("a", 20), ("b", 30), ("s", 49)))
+    rows = [(1, f"{long}\nx\n{a}\n{b}\n{short}"), (2, f"y\n{long}"), (3, f"{a}\n \n{b}\nz"), (4, f"{short}\nq"), (5, f"{long}\n{long}"), (6, f"{b}\n{a}")]
+    frame = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in C.drop_lines(spark, frame, "").collect()}
+    want = {1: rows[0][1], 2: "y", 3: " \nz", 4: rows[3][1], 6: rows[5][1]}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
