@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 
 import pytest
@@ -54,6 +55,16 @@ def test_near_duplicates_against_brute_force(docs, texts, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("near, stated", [(0.85, "3e-6"), (0.8, "2e-5")])
+def test_stated_loss_covers_banding_and_signature_tests(near, stated):
+    def under(cut, n):                                 # bytes of unequal minima agree by chance, too
+        p = near + (1 - near) / 256
+        return sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(n) if k / n < cut)
+    minima = near_dedup.BANDS * near_dedup.ROWS
+    lost = (1 - near ** near_dedup.ROWS) ** near_dedup.BANDS + under(near - near_dedup.SLACK, minima) + under(near - near_dedup.WIDE_SLACK, near_dedup.WIDE)
+    assert lost < float(stated) and stated in near_dedup.__doc__.split("together")[-1]
+
+
 def test_components_of_a_long_path(spark):
     path = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 101)], "u long, v long")
     got = {r.node: r.component for r in components(path).collect()}
