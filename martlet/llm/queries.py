@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martlet.llm import decontaminate, language_id, line_dedup, lm_score, near_dedup, packing, quality, sharding, substring_dedup, toxicity
+from martlet.llm import conversations, decontaminate, language_id, line_dedup, lm_score, near_dedup, packing, periodic, quality, sharding, substring_dedup, toxicity, url_filter
 from martlet.llm.tables import documents, remainder
 
 #: Rows of a batch that a Python task holds; texts are long, Spark's default is for narrow rows.
@@ -100,3 +100,19 @@ def op7(spark, sf_dir):
 @query("op5_quality_divergence")
 def op5(spark, sf_dir):
     return quality.assess(documents(spark, sf_dir))
+
+
+@query("op11_conversation_repair")
+def op11(spark, sf_dir):
+    return conversations.repair(conversations.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+@query("op12_periodic_runs")
+def op12(spark, sf_dir):
+    docs = documents(spark, sf_dir).withColumn("crc_of_id", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    return periodic.periodic_runs(docs, "crc_of_id", digest=True).withColumnRenamed("collapsed", "collapsed_sha256").drop("n_words")
+
+
+@query("op13_url_filter", url_filter.ORACLE)
+def op13(spark, sf_dir):
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), spark.createDataFrame(url_filter.FIXED_RULES, url_filter.RULES))
