@@ -7,6 +7,7 @@ an increment bounded by a mark read from the target.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import DataFrame
@@ -35,6 +36,9 @@ ORDERS_WITH_CUSTOMER_MONTHLY = IncrementalConfig(
     layout=Layout(partition_field="ordered_at", partition_kind="month", cluster_by=("customer_id",)),
     unique_key=("order_id",), strategy="merge", on_schema_change="sync_all_columns")
 
+# Orders keep their month, so merges (a renamed customer's orders, say) read only the batch's months.
+ORDERS_WITH_CUSTOMER_BY_MONTH = dataclasses.replace(ORDERS_WITH_CUSTOMER_MONTHLY, keys_move_partitions=False)
+
 # Day partitions, replaced wholesale; 90-day window first, 3 days later.
 RECENT_PRODUCTS = IncrementalConfig(
     layout=Layout(partition_field="ordered_at", partition_kind="day"),

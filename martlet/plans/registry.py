@@ -34,4 +34,4 @@ def register(key: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from martlet.plans import queries_incremental, queries_models, queries_operators  # noqa: F401
+    from martlet.plans import queries_incremental, queries_maintained, queries_models, queries_operators  # noqa: F401
