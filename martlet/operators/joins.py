@@ -65,14 +65,14 @@ def skew_split_lookup(fact: DataFrame, dim: DataFrame, key: str, take: dict[str,
 def strict_lookup(fact: DataFrame, dim: DataFrame, key: str, column: str, alias: str) -> DataFrame:
     """Correlated scalar subquery ``(select d.col from dim d where d.key = f.key)``.
 
-    Catalyst plans it as a single-match left join; a duplicated dimension key
-    raises ``SCALAR_SUBQUERY_TOO_MANY_ROWS`` instead of fanning out.
+    The dimension is grouped by key and joined like any other; a key with several rows raises where a
+    fact asks for it, and only there. (Spark plans the subquery itself as a nested-loop join wherever it can't broadcast.)
     """
-    f = fact.alias("_f")
-    d = dim.alias("_d")
-    value = (d.where(F.col(f"_d.{key}") == F.col(f"_f.{key}").outer())
-              .select(F.col(f"_d.{column}")).scalar())
-    return f.select(*[F.col(f"_f.{c}") for c in fact.columns], value.alias(alias))
+    one = (dim.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_one_key"))
+           .agg(F.count(F.lit(1)).alias("_one_n"), F.max(column).alias("_one_value")))
+    fail = F.raise_error(F.concat(F.lit(f"more than one row of {column} for {key} "), F.col("_one_key").cast("string")))
+    value = F.when(F.col("_one_n") > 1, fail.cast(dim.schema[column].dataType)).otherwise(F.col("_one_value"))
+    return fact.join(one, F.col(key) == F.col("_one_key"), "left").select(*[fact[c] for c in fact.columns], value.alias(alias))
 
 
 def semi(fact: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:

@@ -11,12 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.plans import incremental_models as IM
+from martlet.plans import orders as M
 from martlet.plans.dimension_changes import propagate
 from martlet.plans.maintained import Batch, HighValueItems, RecentProducts, Spend, TypeCounts, batch_of
 from martlet.plans.params import FIXTURE, resolve_as_of
+from martlet.plans.queries_models import ORDERS_WITH_CUSTOMER_SQL
 from martlet.plans.registry import register
 from martlet.session import scratch_path
+from martlet.sources.bucketed import BucketedTable, join_bucketed
 from martlet.sources.catalog import Catalog
+from martlet.sources.footers import stored_max
+from martlet.sources.sinks import Layout, full_refresh, read_table
 from martlet.sources.target import Target
 
 P = FIXTURE
@@ -146,3 +151,39 @@ def _j15(cat: Catalog) -> DataFrame:
         IM.refresh_orders_with_customer(at, target)
         propagate(target, at.table("dim_customers"), snapshots, "customer_id", {"name": "customer_name"})
     return target.read().select(*IM.J15_COLUMNS)
+
+
+# ------------------------------------------------------------------ A9, A10, E4: stored layouts that readers use
+@register("a09_clustered_on_two_columns", ORDERS_WITH_CUSTOMER_SQL)
+def _a09_curve(cat: Catalog) -> DataFrame:
+    """J1 clustered on (customer, time) alike: filters on either skip row groups (tests/test_storage.py looks at the footers)."""
+    rows = M.orders_with_customer(cat)
+    root = scratch_path(cat.spark, "a09-curve")
+    full_refresh(rows, root, Layout(cluster_by=("customer_id", "ordered_at"), curve=True))
+    return read_table(cat.spark, root, schema=rows.schema).select(*rows.columns)
+
+
+@register("a10_join_of_bucketed_tables", """
+SELECT o.order_id, c.customer_id, c.name, o.order_total
+FROM fct_orders o JOIN dim_customers c USING (customer_id)""")
+def _a10_join(cat: Catalog) -> DataFrame:
+    """Orders and customers stored in the same buckets; their join needs no shuffle."""
+    spark, stored = cat.spark, {}
+    for name in ("fct_orders", "dim_customers"):
+        path = scratch_path(spark, f"bucketed-{name}")
+        stored[name] = BucketedTable(spark, f"{name}_{path.rsplit('-', 1)[1]}", path, "customer_id", 8)
+        stored[name].save(cat.table(name))
+    return join_bucketed(stored["fct_orders"], stored["dim_customers"]).select("order_id", "customer_id", "name", "order_total")
+
+
+@register("e04_maximum_from_footers", """
+SELECT max(ordered_at) AS last_order, max(customer_id) AS last_customer, max(order_total) AS largest FROM fct_orders""")
+def _e04_stored(cat: Catalog) -> DataFrame:
+    root = scratch_path(cat.spark, "e04")
+    path = full_refresh(cat.table("fct_orders"), root, Layout(partition_field="ordered_at", partition_kind="month"))
+    told = {alias: stored_max(cat.spark, path, column) for alias, column in (("last_order", "ordered_at"), ("last_customer", "customer_id"), ("largest", "order_total"))}
+    return cat.spark.createDataFrame([tuple(told.values())], "last_order timestamp_ntz, last_customer long, largest double")
+
+
+register("d12_single_match_lookup_without_nested_loop", ORDERS_WITH_CUSTOMER_SQL)(
+    lambda cat: M.orders_with_customer(cat, strict=True))

@@ -9,7 +9,9 @@ A layout is applied as DataFrame operations just before the writer:
   repartition on the clustering columns followed by a sort inside each task:
   files hold narrow key ranges, Parquet min/max statistics skip row groups,
   and a hot key is split across several tasks instead of one;
-* even distribution + compound sort (A11) is a round-robin repartition and a
+* clustering on several columns alike sorts by an interleaved key instead
+  (``martlet.operators.clustering``);
+* even distribution + compound sort (A11) is a rebalanced repartition and a
   sort inside each task.
 
 Full refreshes (A3) write a new version directory; the version is committed
@@ -27,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.functions.dates import month_start
+from martlet.operators.clustering import with_curve_key
 from martlet.session import shuffle_partitions
 
 OVERFLOW = None  # range partition of out-of-range / NULL keys (Hive default partition)
@@ -47,6 +50,7 @@ class Layout:
     range_end: int = 100_000_000
     range_interval: int = 10_000
     cluster_by: tuple[str, ...] = ()
+    curve: bool = False                # cluster on all columns alike (interleaved key) instead of one after the other
     distribute_by: str | None = None
     sort_by: tuple[str, ...] = ()
     even: bool = False
@@ -98,28 +102,53 @@ def _spread(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
+def parts_for(df: DataFrame, partitioned: bool) -> list[int]:
+    """Number of tasks that write ``df``, as arguments of a repartition.
+
+    The bytes of all inputs (file sizes from the plan; unknown ones count nothing) over the advisory partition size, where that
+    is more than the session's shuffle partitions. Otherwise those for a partitioned table, whose many
+    folders want tasks; for any other table no number, so neighbouring ranges are joined once their sizes are known.
+    """
+    spark = df.sparkSession
+    advisory = spark._jsparkSession.sessionState().conf().getConfString("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    part_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory)
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        size = int(str(leaves.next().stats().sizeInBytes()))
+        total += size if size < (1 << 62) else 0
+    wanted, session = -(-total // part_bytes), shuffle_partitions(spark)
+    return [wanted] if wanted > session else [session] if partitioned else []
+
+
 def arrange(df: DataFrame, layout: Layout) -> DataFrame:
     """Apply distribution and in-task sort of ``layout``.
 
     Range keys start with the partition column, so each task writes a
     contiguous run of partitions (about one file per partition and task
-    instead of one per partition per input split). The task count is
-    ``num_parts`` or the session's shuffle partition count.
+    instead of one per partition per input split). Without ``num_parts`` the
+    task count follows the data (``parts_for``).
     """
-    n = layout.num_parts or shuffle_partitions(df.sparkSession)
+    n = [layout.num_parts] if layout.num_parts else parts_for(df, bool(layout.partition_column))
     part = [layout.partition_column] if layout.partition_column else []
+    if layout.curve and len(layout.cluster_by) > 1:
+        keys = part + ["_curve"]
+        keyed = with_curve_key(df, list(layout.cluster_by))
+        return (keyed.repartitionByRange(*n, *keys, _spread(df)).sortWithinPartitions(*keys, *layout.cluster_by)
+                .drop("_curve"))
     if layout.cluster_by:
         keys = part + list(layout.cluster_by)
     elif layout.distribute_by:
         keys = part + [layout.distribute_by] + list(layout.sort_by)
     elif layout.even:
-        return df.repartition(n).sortWithinPartitions(*(part + list(layout.sort_by)))
+        spread = df.repartition(*n) if n else df.hint("rebalance")
+        return spread.sortWithinPartitions(*(part + list(layout.sort_by)))
     elif part:
         keys = part
     else:
         return df
     range_keys = [F.col(k) for k in keys] + [_spread(df)]
-    return df.repartitionByRange(n, *range_keys).sortWithinPartitions(*keys)
+    return df.repartitionByRange(*n, *range_keys).sortWithinPartitions(*keys)
 
 
 def choose_layout(df: DataFrame, if_column: str, layout: Layout, otherwise: Layout | None = None) -> Layout:

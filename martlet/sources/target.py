@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from martlet.operators.incremental import align_schema, dedupe_latest, high_water_mark, merge_rows
 from martlet.session import scratch_path
+from martlet.sources.footers import stored_max
 from martlet.sources.sinks import (
     Layout, arrange, delete_path, has_data_files, partition_dir_value, partition_values, path_exists,
     with_partition_column)
@@ -80,7 +81,8 @@ class Target:
         When the target is partitioned by ``column`` itself, or by its day or
         month, the maximum lies in the newest partition: the partition list
         (metadata) picks it and only that partition is read. Otherwise the
-        column is aggregated over the whole target.
+        maximum comes from the files' footers, or from the column where those
+        don't have it.
         """
         lay = self.config.layout
         if not self.exists() or not has_data_files(self.spark, self.path):
@@ -88,7 +90,9 @@ class Target:
         monotone = lay.partition_field == column and lay.partition_kind in ("day", "month", "date")   # a range layout has an overflow partition too
         values = partition_values(self.spark, self.path, lay.partition_column) if monotone else []
         if not values:
-            return high_water_mark(self.read(), column, default)
+            whole = self.read()
+            mark = high_water_mark(whole, column) if column == lay.partition_column else stored_max(self.spark, self.path, column, whole)
+            return default if mark is None else mark
         newest = max(values)
         part = (self.spark.read.option("basePath", self.path)
                 .parquet(f"{self.path}/{lay.partition_column}={newest}"))
