@@ -69,11 +69,6 @@ def rolling_window_start(as_of: dt.date, first_load: bool, first_days: int, late
     return F.date_sub(F.lit(as_of), first_days if first_load else later_days)
 
 
-def rolling_month_start(as_of: dt.date, months: int) -> Column:
-    """First day of the month ``months`` before ``as_of``."""
-    return F.trunc(F.add_months(F.lit(as_of), -months), "MM")
-
-
 def dedupe_latest(batch: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """One row per key, the one with the greatest ``order_by`` (then the
     greatest remaining columns, so the pick is deterministic).
@@ -93,11 +88,6 @@ def merge_rows(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
     return existing.join(batch.select(*keys).distinct(), keys, "left_anti").unionByName(batch)
 
 
-def delete_insert_rows(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """B14 delete+insert: same as merge, every batch row kept (duplicate keys too)."""
-    return merge_rows(existing, batch, keys)
-
-
 def align_schema(existing: DataFrame, batch: DataFrame, on_schema_change: str) -> tuple[DataFrame, DataFrame]:
     """Reconcile the target with a batch whose columns changed.
 
@@ -105,7 +95,8 @@ def align_schema(existing: DataFrame, batch: DataFrame, on_schema_change: str) -
     fail              - raise SchemaChangeError on any difference
     append_new_columns- union of columns (missing ones NULL)
     sync_all_columns  - the batch's columns win: new ones added (NULL in old
-                        rows), dropped ones removed
+                        rows), dropped ones removed; a wider type is taken over, any
+                        other change of type raises
     """
     e_fields = {f.name: f.dataType for f in existing.schema.fields}
     b_fields = {f.name: f.dataType for f in batch.schema.fields}
@@ -115,17 +106,36 @@ def align_schema(existing: DataFrame, batch: DataFrame, on_schema_change: str) -
         raise SchemaChangeError(f"schema changed: target={existing.schema.simpleString()} "
                                 f"batch={batch.schema.simpleString()}")
     if on_schema_change == "ignore":
-        return existing, _project(batch, existing.schema)
+        return existing, project(batch, existing.schema)
     if on_schema_change == "append_new_columns":
         fields = list(existing.schema.fields) + [f for f in batch.schema.fields if f.name not in e_fields]
         schema = T.StructType(fields)
-        return _project(existing, schema), _project(batch, schema)
+        return project(existing, schema), project(batch, schema)
     if on_schema_change == "sync_all_columns":
-        return _project(existing, batch.schema), batch
+        narrower = {n: (e_fields[n], t) for n, t in b_fields.items() if n in e_fields and not widens(e_fields[n], t)}
+        if narrower:
+            raise SchemaChangeError(f"stored values don't fit the new types: {narrower}")
+        return project(existing, batch.schema), batch
     raise ValueError(f"unknown on_schema_change {on_schema_change}")
 
 
-def _project(df: DataFrame, schema: T.StructType) -> DataFrame:
+_WIDER = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType]
+
+
+def widens(old: T.DataType, new: T.DataType) -> bool:
+    """Whether every value of ``old`` has a value in ``new``: the same type, a larger number, a time for a date, text for anything simple."""
+    if old == new:
+        return True
+    if type(old) in _WIDER and type(new) in _WIDER:
+        return _WIDER.index(type(old)) < _WIDER.index(type(new)) and not (isinstance(old, (T.IntegerType, T.LongType)) and isinstance(new, T.FloatType)) \
+            and not (isinstance(old, T.LongType) and isinstance(new, T.DoubleType))
+    if isinstance(old, T.DateType):
+        return isinstance(new, (T.TimestampType, T.TimestampNTZType, T.StringType))
+    return isinstance(new, T.StringType) and isinstance(old, T.AtomicType) and not isinstance(old, T.BinaryType)
+
+
+def project(df: DataFrame, schema: T.StructType, more: list[Column] | None = None) -> DataFrame:
+    """``df`` under another schema: columns it lacks are NULL, others are cast; then ``more`` columns."""
     have = set(df.columns)
     return df.select(*[(F.col(f.name).cast(f.dataType) if f.name in have
-                        else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+                        else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields], *(more or []))

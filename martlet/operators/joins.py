@@ -80,10 +80,6 @@ def semi(fact: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     return fact.join(keys, on, "left_semi")
 
 
-def anti(fact: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
-    return fact.join(keys, on, "left_anti")
-
-
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate to every row.
 

@@ -32,24 +32,27 @@ def footer_session(spark: SparkSession) -> SparkSession:
     return out
 
 
-def footer_max(spark: SparkSession, path: str, column: str) -> DataFrame:
+def footer_max(spark: SparkSession, paths: list[str], column: str, base: str | None = None) -> DataFrame:
     """One row with the greatest value as footers tell it; times as microseconds."""
+    def reader(session):
+        return session.read.option("basePath", base) if base else session.read
     fields = [T.StructField(f.name, T.LongType()) if f.name == column and isinstance(f.dataType, T.TimestampNTZType) else f
-              for f in spark.read.parquet(path).schema.fields]
-    return footer_session(spark).read.schema(T.StructType(fields)).parquet(path).agg(F.max(column).alias("m"))
+              for f in reader(spark).parquet(*paths).schema.fields]
+    return reader(footer_session(spark)).schema(T.StructType(fields)).parquet(*paths).agg(F.max(column).alias("m"))
 
 
-def stored_max(spark: SparkSession, path: str, column: str, df: DataFrame | None = None):
-    """Greatest value of a column of the Parquet table at ``path``, None where there is none.
+def stored_max(spark: SparkSession, paths: str | list[str], column: str, df: DataFrame | None = None, base: str | None = None):
+    """Greatest value of a column of the Parquet table at ``paths``, None where there is none.
 
     ``df`` is the table as its reader sees it, where that differs from a plain read; it is what is read if the
-    footers don't help.
+    footers don't help. ``base`` is the folder below which partition folders are named.
     """
-    table = spark.read.parquet(path) if df is None else df
+    paths = [paths] if isinstance(paths, str) else paths
+    table = spark.read.parquet(*paths) if df is None else df
     dtype = table.schema[column].dataType
     if isinstance(dtype, (*_PUSHED, T.TimestampNTZType)):
         try:
-            value = footer_max(spark, path, column).first()["m"]
+            value = footer_max(spark, paths, column, base).first()["m"]
         except (PySparkException, Py4JError):
             value = None                     # no statistics for this column in some file
         if value is not None:

@@ -93,7 +93,7 @@ def test_maximum_from_footers(spark):
     path = scratch_path(spark, "footers")
     df.write.parquet(path)
     for c in ("k", "at", "d", "v"):
-        text = footer_max(spark, path, c)
+        text = footer_max(spark, [path], c)
         assert f"PushedAggregation: [MAX({c})]" in text._jdf.queryExecution().executedPlan().toString()
         unit = 1_000_000 if c == "at" else 1
         assert c == "at" or text.first()[0] == df.agg(F.max(c)).first()[0]
