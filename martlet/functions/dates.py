@@ -107,3 +107,13 @@ def cycle_last_day_text(year_text, cycle) -> Column:
         v = F.concat(col_(year_text), F.lit("-" + last))
         expr = F.when(c == code, v) if expr is None else expr.when(c == code, v)
     return expr.otherwise(F.lit(None).cast("string"))
+
+
+def timestamp_trunc(ts, unit: str) -> Column:
+    """I13 ``DATE_TRUNC(unit, ts)`` as a timestamp; weeks start on Monday."""
+    return F.date_trunc(unit, col_(ts)).cast("timestamp_ntz")
+
+
+def parse_timestamp(s, pattern: str) -> Column:
+    """I15 ``PARSE_TIMESTAMP``: text to a timestamp by a Spark pattern; what the pattern lacks is its least value."""
+    return F.to_timestamp_ntz(col_(s), F.lit(pattern))

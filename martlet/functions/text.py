@@ -32,3 +32,18 @@ def concat_text(*parts) -> Column:
 def rtrim_char(s) -> Column:
     """``::bpchar`` comparison semantics: trailing blanks do not count."""
     return F.rtrim(col_(s))
+
+
+def timestamp_of_text(s) -> Column:
+    """I7 ``s::timestamp`` of ISO text."""
+    return col_(s).cast("timestamp_ntz")
+
+
+def fixed_width(s, n: int) -> Column:
+    """I7 ``s::bpchar(n)``: cut or blank-padded to n characters."""
+    return F.rpad(F.left(col_(s), F.lit(n)), n, " ")
+
+
+def safe_cast(s, to: str) -> Column:
+    """I7 ``SAFE_CAST``: NULL where the text is no such value."""
+    return col_(s).try_cast(to)

@@ -26,25 +26,33 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, take: dict[str, str],
 
 
 def hot_keys(fact: DataFrame, key: str, support: float) -> list:
-    """Keys that may hold at least ``support`` of the rows of ``fact``.
+    """Keys that hold at least ``support`` of the rows of ``fact``: at most 1 / support.
 
-    ``freqItems`` is one distributed pass; it returns at most 1/support
-    candidates (false positives possible, none missed), so the list has a
-    proven size bound.
+    ``freqItems`` is one distributed pass that misses none but also names others; one exact count of
+    the candidates leaves those out.
     """
     row = fact.freqItems([key], support).first()
-    return [k for k in (row[0] if row else []) if k is not None]
+    likely = [k for k in (row[0] if row else []) if k is not None]
+    if not likely:
+        return []
+    c = F.col(key)
+    counts = fact.groupBy(F.when(c.isin(likely), c).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r.n for r in counts)
+    return [r.k for r in counts if r.k is not None and r.n >= support * total]
+
+
+#: Tasks over which the rows of one hot key are spread.
+SALTS = 32
 
 
 def skew_split_lookup(fact: DataFrame, dim: DataFrame, key: str, take: dict[str, str],
                       how: str = "left", support: float = 0.01,
                       hot_from: DataFrame | None = None) -> DataFrame:
-    """D3 / D1 for a fact side with hot keys: exact, no replicated dimension.
+    """D3 / D1 for a fact side with hot keys: one join, exact.
 
-    Rows whose key is hot (at most 1/support keys) join a broadcast of just
-    those keys' dimension rows, so a key holding a third of the facts never
-    lands in one shuffle partition. All other rows take the ordinary join.
-    The union is the same multiset as ``lookup``.
+    Rows of a hot key get a salt from their content, and its dimension rows (those of at most 1/support keys) are
+    repeated for each salt, so a key holding a third of the facts never lands in one
+    shuffle partition. Rows without a key are salted too; they match nothing. Without a hot key it is the plain join.
 
     ``hot_from`` (a plain scan holding the key) detects the hot keys when
     ``fact`` is an expensive derived frame; the keys only route rows, so the
@@ -55,11 +63,11 @@ def skew_split_lookup(fact: DataFrame, dim: DataFrame, key: str, take: dict[str,
     hot = hot_keys((hot_from if hot_from is not None else fact).select(key), key, support)
     if not hot:
         return lookup(fact, dim, key, take, how)
-    k = F.col(key)
+    k, salts = F.col(key), F.lit(SALTS)
+    salted = fact.withColumn("_salt", F.when(k.isNull() | k.isin(hot), F.pmod(F.xxhash64(*fact.columns), salts)).otherwise(0).cast("int"))
     small = dim.select(k, *[F.col(c).alias(a) for c, a in take.items()])
-    hot_part = fact.where(k.isin(hot)).join(F.broadcast(small.where(k.isin(hot))), key, how)
-    cold_part = fact.where(k.isNull() | ~k.isin(hot)).join(small.where(~k.isin(hot)), key, how)
-    return cold_part.unionByName(hot_part)
+    spread = small.withColumn("_salt", F.explode(F.when(k.isin(hot), F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))))
+    return salted.join(spread, [key, "_salt"], how).drop("_salt")
 
 
 def strict_lookup(fact: DataFrame, dim: DataFrame, key: str, column: str, alias: str) -> DataFrame:

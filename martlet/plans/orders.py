@@ -1,7 +1,7 @@
 """The six order models (J1-J6) and their variants.
 
-Each model is a function ``(catalog, params) -> DataFrame``; nothing is
-collected. Shapes are chosen for very large fact tables:
+Each model is a function ``(catalog, params) -> DataFrame``. Only single values and lists of bounded size reach
+the driver while one is built (the run's day, hot keys, rank offsets per part). Shapes are chosen for very large fact tables:
 
 * aggregate before joining whenever that shrinks the rows (per customer
   before attaching names, per order before attaching customers);
@@ -46,8 +46,8 @@ def orders_with_customer(cat: Catalog, params: Params = Params(), strict: bool =
 
     ``strict=True`` is the scalar-subquery form (D12): a duplicated customer
     key raises instead of duplicating orders. Otherwise customers holding at
-    least 1 % of the orders are joined through a broadcast of their own rows
-    (``skew_split_lookup``), the rest by the ordinary join.
+    least 1 % of the orders are spread over several tasks
+    (``skew_split_lookup``).
     """
     o = _orders(cat).select("order_id", "customer_id", "order_total", "ordered_at")
     if strict:
@@ -192,8 +192,7 @@ def _expensive_items_of_high_value(cat: Catalog, params: Params) -> DataFrame:
              .select("order_id", "product_id", "product_price"))
     rows = items.join(_orders(cat).select("order_id", "customer_id", "ordered_at"), "order_id")
     rows = semi(rows, high_value_customers(cat, params), "customer_id")
-    # A customer holding a large share of the items joins through a broadcast
-    # of its own row; the rest share the customer_id partitioning.
+    # The rows of a customer who holds a large share of them are spread over tasks.
     return skew_split_lookup(rows, _customers(cat), "customer_id", {"name": "name"}, "inner",
                              support=HOT_KEY_SUPPORT, hot_from=_orders(cat))
 

@@ -55,7 +55,7 @@ MODELS: dict[str, Model] = {m.name: m for m in [
           layout=Layout(partition_field="item_type", partition_kind="value", cluster_by=("name",))),
     Model("high_value_purchases", build=M.expensive_items_of_high_value_detail,
           layout=Layout(partition_field="customer_id", partition_kind="range",
-                        range_start=0, range_end=100_000_000, range_interval=10_000,
+                        range_start=0, range_end=None, range_interval=10_000,
                         cluster_by=("customer_id",))),
     Model("monthly_product_rank", refresh=lambda c, t, p, f: IM.refresh_monthly_rank(c, t, f),
           config=IM.MONTHLY_RANK),

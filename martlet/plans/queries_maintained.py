@@ -15,7 +15,7 @@ from martlet.plans import orders as M
 from martlet.plans.dimension_changes import propagate
 from martlet.plans.maintained import Batch, HighValueItems, RecentProducts, Spend, TypeCounts, batch_of
 from martlet.plans.params import FIXTURE, resolve_as_of
-from martlet.plans.queries_models import ORDERS_WITH_CUSTOMER_SQL
+from martlet.plans.queries_models import EXPENSIVE_ITEMS_SQL, ITEM_TYPE_COUNTS_SQL, ORDERS_WITH_CUSTOMER_SQL, SPEND_PER_CUSTOMER_SQL
 from martlet.plans.registry import register
 from martlet.session import scratch_path
 from martlet.sources.bucketed import BucketedTable, join_bucketed
@@ -54,11 +54,7 @@ def _spend(cat: Catalog) -> Spend:
     return state
 
 
-register("j02_spend_per_customer_incremental", """
-SELECT c.name AS customer_name, round(sum(t.spent), 2) AS total_spent
-FROM (SELECT customer_id, sum(order_total) AS spent FROM fct_orders GROUP BY customer_id) t
-     LEFT JOIN dim_customers c USING (customer_id)
-GROUP BY c.name""")(lambda cat: _spend(cat).by_name(cat.table("dim_customers")))
+register("j02_spend_per_customer_incremental", SPEND_PER_CUSTOMER_SQL)(lambda cat: _spend(cat).by_name(cat.table("dim_customers")))
 
 register("j09_spend_and_last_order_incremental", """
 SELECT c.name AS customer_name, round(t.spent, 2) AS total_spent, t.latest AS last_order_date
@@ -90,13 +86,7 @@ def _corrected(cat: Catalog) -> list[Batch]:
     return [first, batch_of(cat, "increment 1", _between(FIRST, SECOND)), fixed, fixed, batch_of(cat, "increment 2", _between(SECOND, None))]
 
 
-@register("j04_item_type_counts_incremental", """
-SELECT name, n AS item_count, kind AS item_type
-FROM (SELECT c.name, unnest([count(i.order_item_id) FILTER (WHERE i.is_food_item = 1), count(i.order_item_id) FILTER (WHERE i.is_drink_item = 1)]) AS n,
-             unnest(['food', 'drink']) AS kind
-      FROM order_items i JOIN fct_orders o USING (order_id) JOIN dim_customers c USING (customer_id)
-      GROUP BY c.name)
-WHERE n > 0""")
+@register("j04_item_type_counts_incremental", ITEM_TYPE_COUNTS_SQL)
 def _j04(cat: Catalog) -> DataFrame:
     state = TypeCounts(cat.spark, scratch_path(cat.spark, "counts"), BUCKETS)
     for batch in _corrected(cat):
@@ -104,12 +94,7 @@ def _j04(cat: Catalog) -> DataFrame:
     return state.result(cat.table("dim_customers"))
 
 
-@register("j05_expensive_items_incremental", f"""
-SELECT c.name, b.product_id, b.product_price
-FROM (SELECT o.customer_id, i.product_id, i.product_price, o.spent
-      FROM (SELECT order_id, customer_id, sum(order_total) OVER (PARTITION BY customer_id) AS spent FROM fct_orders) o
-           JOIN order_items i USING (order_id)) b JOIN dim_customers c USING (customer_id)
-WHERE b.spent > {P.spend_min} AND b.product_price > {P.price_min}""")
+@register("j05_expensive_items_incremental", EXPENSIVE_ITEMS_SQL)
 def _j05(cat: Catalog) -> DataFrame:
     state = HighValueItems(cat.spark, scratch_path(cat.spark, "high-value"), P, BUCKETS)
     for batch in _corrected(cat):

@@ -22,7 +22,7 @@ from martlet.plans import orders as M
 from martlet.plans import sales_plan as SP
 from martlet.plans.params import FIXTURE, Params, resolve_as_of
 from martlet.plans.queries_models import (
-    AS_OF, HIGH_VALUE, ITEM_TYPE_COUNTS_SQL, ORDERS_WITH_CUSTOMER_SQL, RECENT_CUT, email_sql)
+    AS_OF, ITEM_TYPE_COUNTS_SQL, ORDERS_WITH_CUSTOMER_SQL, RECENT_CUT, email_sql, visible_mails_sql)
 from martlet.plans.registry import register
 from martlet.sources.catalog import Catalog
 
@@ -202,24 +202,21 @@ SELECT {EXT_SQL}, modified_date, m.max_modified_date
 FROM stg_mccp_prod_plan CROSS JOIN (SELECT max(modified_date) AS max_modified_date FROM stg_mccp_prod_plan) m""")(
     lambda cat: J.with_scalar(_plan(cat).select("external_id_vod__c", "modified_date"),
                               _plan(cat).agg(F.max("modified_date").alias("max_modified_date"))))
+SPENDERS = f"SELECT customer_id FROM fct_orders GROUP BY ALL HAVING sum(order_total) > {P.spend_min}"
 register("d10_semi_join_in_subquery", f"""
-SELECT customer_id, name FROM dim_customers WHERE customer_id IN ({HIGH_VALUE})""")(
+SELECT customer_id, name FROM dim_customers WHERE customer_id IN (SELECT customer_id FROM ({SPENDERS}))""")(
     lambda cat: J.semi(_c(cat), M.high_value_customers(cat, P), "customer_id"))
 register("d11_join_to_having_aggregate", f"""
-SELECT c.customer_id, c.name FROM dim_customers c JOIN ({HIGH_VALUE}) h ON c.customer_id = h.customer_id""")(
+SELECT customer_id, name FROM dim_customers JOIN ({SPENDERS}) USING (customer_id)""")(
     lambda cat: _c(cat).join(M.high_value_customers(cat, P), "customer_id").select("customer_id", "name"))
 register("d13_uncorrelated_scalar_subquery", f"""
 SELECT {EXT_SQL}, product_name_vod__c, modified_date FROM stg_mccp_prod_plan
 WHERE modified_date = (SELECT max(modified_date) FROM stg_mccp_prod_plan)""")(
     lambda cat: _plan(cat).where(F.col("modified_date") == _plan(cat).agg(F.max("modified_date")).scalar())
     .select("external_id_vod__c", "product_name_vod__c", "modified_date"))
-register("d14_row_level_security_join", """
-SELECT main.prod_nm, main.terr_id, main.cntry_cd, main.sent_email_nm
-FROM f_sent_email_atvy main
-JOIN rls_user_auth_mast usr
-  ON CASE WHEN length(usr.opu) = 0 THEN 'X' ELSE main.cntry_cd END
-   = CASE WHEN length(usr.opu) = 0 THEN 'X' ELSE usr.opu END
-WHERE rtrim(usr.uname) = 'analyst'""")(
+register("d14_row_level_security_join", f"""
+SELECT prod_nm, terr_id, cntry_cd, sent_email_nm
+FROM (SELECT *, unnest(range(seen)) FROM ({visible_mails_sql('analyst')}))""")(
     lambda cat: J.rls_join(_mail(cat), cat.table("rls_user_auth_mast"), "analyst")
     .select("prod_nm", "terr_id", "cntry_cd", "sent_email_nm"))
 register("d15_join_prefiltered_inputs", f"""
@@ -250,7 +247,9 @@ register("e03_max_per_group", f"""
 SELECT {EXT_SQL}, max(modified_date) AS max_modified_date, max(systemmodstamp) AS max_systemmodstamp
 FROM stg_mccp_prod_plan GROUP BY {EXT_SQL}""")(
     lambda cat: _plan(cat).groupBy("external_id_vod__c").agg(
-        F.max("modified_date").alias("max_modified_date"), F.max("systemmodstamp").alias("max_systemmodstamp")))
+        # as a date: its buffer is of fixed width, so the aggregate hashes instead of sorting all rows
+        D.iso_date_text(F.max(D.parse_iso_date("modified_date"))).alias("max_modified_date"),
+        F.max("systemmodstamp").alias("max_systemmodstamp")))
 register("e04_global_max", "SELECT max(modified_date) AS max_modified_date FROM stg_mccp_prod_plan")(
     lambda cat: _plan(cat).agg(F.max("modified_date").alias("max_modified_date")))
 register("e05_conditional_count", """
@@ -520,14 +519,8 @@ FROM stg_mccp_prod_plan""")(
     lambda cat: _plan(cat).select("external_id_vod__c",
                                   D.cycle_first_day_text(SP.plan_year(), SP.plan_cycle()).alias("firstdaycicle"),
                                   D.cycle_last_day_text(SP.plan_year(), SP.plan_cycle()).alias("lastdaycicle")))
-register("i26_current_user_parameter", """
-SELECT main.cntry_cd, count(*) AS visible_rows
-FROM f_sent_email_atvy main
-JOIN rls_user_auth_mast usr
-  ON CASE WHEN length(usr.opu) = 0 THEN 'X' ELSE main.cntry_cd END
-   = CASE WHEN length(usr.opu) = 0 THEN 'X' ELSE usr.opu END
-WHERE rtrim(usr.uname) = 'admin'
-GROUP BY main.cntry_cd""")(
+register("i26_current_user_parameter", f"""
+SELECT cntry_cd, CAST(sum(seen) AS BIGINT) AS visible_rows FROM ({visible_mails_sql('admin')}) GROUP BY cntry_cd""")(
     lambda cat: J.rls_weight(_mail(cat), cat.table("rls_user_auth_mast"), "admin")
     .groupBy("cntry_cd").agg(F.sum("_rls_w").alias("visible_rows")))
 register("i27_inline_array_of_structs", ITEM_TYPE_COUNTS_SQL)(lambda cat: _h04(cat))
@@ -540,3 +533,44 @@ register("a02_source_and_ref", """
 SELECT o.order_id, c.name FROM fct_orders o JOIN dim_customers c ON o.customer_id = c.customer_id""")(
     lambda cat: cat.source("sales", "fct_orders").select("order_id", "customer_id")
     .join(cat.ref("dim_customers"), "customer_id").select("order_id", "name"))
+
+
+@register("a01_tables_of_two_schemas", """
+SELECT 'live' AS origin, order_id FROM fct_orders
+UNION ALL SELECT 'archive', order_id FROM fct_orders WHERE ordered_at < TIMESTAMP '2000-01-01 00:00:00'""")
+def _a01_schemas(cat: Catalog) -> DataFrame:
+    """Two tables with one name in different schemas stay apart."""
+    both = Catalog(cat.spark, {"prod.live.fct_orders": lambda: cat.table("fct_orders"),
+                               "prod.archive.fct_orders": lambda: cat.table("fct_orders").where(F.col("ordered_at") < F.lit("2000-01-01").cast("timestamp_ntz"))})
+    return union_all([both.table(f"prod.{schema}.fct_orders").select(F.lit(schema).alias("origin"), "order_id") for schema in ("live", "archive")])
+
+
+@register("a02_tables_by_source", """
+SELECT order_id, name FROM fct_orders JOIN dim_customers USING (customer_id) WHERE customer_id > 100""")
+def _a02_sources(cat: Catalog) -> DataFrame:
+    """A source's table is what that source declares, not the last part of its name."""
+    known = Catalog(cat.spark, {"shop.orders": lambda: cat.table("fct_orders"), "crm.customers": lambda: cat.table("dim_customers").where("customer_id > 100"),
+                                "shop.customers": lambda: cat.table("dim_customers")})
+    known.declare_source("sales", {"fct_orders": "shop.orders"})
+    known.declare_source("people", {"dim_customers": "crm.customers"})
+    return (known.source("sales", "fct_orders").select("order_id", "customer_id")
+            .join(known.source("people", "dim_customers"), "customer_id").select("order_id", "name"))
+
+
+register("i07_text_and_fixed_width_casts", """
+SELECT external_id_vod__c, CAST(modified_date || ' 06:30:15' AS TIMESTAMP) AS modified_at,
+       rpad(left(product_name_vod__c, 7), 7, ' ') AS product_code, rpad(left(channel_vod__c, 4), 4, ' ') AS channel_code,
+       TRY_CAST(split_part(external_id_vod__c, '-', 2) AS INTEGER) AS plan_year, TRY_CAST(ropu_nm AS INTEGER) AS no_number
+FROM stg_mccp_prod_plan""")(
+    lambda cat: _plan(cat).select("external_id_vod__c", X.timestamp_of_text(X.concat_text(F.col("modified_date"), " 06:30:15")).alias("modified_at"),
+                                  X.fixed_width("product_name_vod__c", 7).alias("product_code"), X.fixed_width("channel_vod__c", 4).alias("channel_code"),
+                                  X.safe_cast(X.split_part("external_id_vod__c", "-", 2), "int").alias("plan_year"), X.safe_cast("ropu_nm", "int").alias("no_number")))
+register("i13_timestamp_trunc", """
+SELECT order_id, date_trunc('month', ordered_at) AS month_at, date_trunc('hour', ordered_at) AS hour_at,
+       CAST(date_trunc('week', ordered_at) AS TIMESTAMP) AS week_at FROM fct_orders""")(
+    lambda cat: _o(cat).select("order_id", *[D.timestamp_trunc("ordered_at", u).alias(f"{u}_at") for u in ("month", "hour", "week")]))
+register("i15_parse_timestamp", """
+SELECT order_id, strptime(strftime(ordered_at, '%Y-%m'), '%Y-%m') AS month_at,
+       strptime(strftime(ordered_at, '%d/%m/%Y %H:%M:%S'), '%d/%m/%Y %H:%M:%S') AS second_at FROM fct_orders""")(
+    lambda cat: _o(cat).select("order_id", D.parse_timestamp(D.month_label("ordered_at"), "yyyy-MM").alias("month_at"),
+                               D.parse_timestamp(F.date_format("ordered_at", "dd/MM/yyyy HH:mm:ss"), "dd/MM/yyyy HH:mm:ss").alias("second_at")))

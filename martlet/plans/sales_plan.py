@@ -63,7 +63,10 @@ def sales_call_plan(cat: Catalog, params: Params = Params()) -> DataFrame:
     # modified_date is ISO text (yyyy-MM-dd), so its maximum is the maximum of
     # the parsed dates. Aggregating the DATE keeps a fixed-width buffer and a
     # hash aggregate; max() of a string would sort every input row first.
-    modified = F.try_to_date(F.col("modified_date"), "yyyy-MM-dd")
+    # A text that is no such date raises, as the source dialect's TO_DATE does.
+    text = F.col("modified_date")
+    modified = F.coalesce(F.try_to_date(text, "yyyy-MM-dd"),
+                          F.when(text.isNotNull(), F.raise_error(F.concat(F.lit("modified_date is no date: "), text)).cast("date")))
     max_loaded = src.agg(F.max(modified).alias("m")).scalar()
 
     in_scope = (F.col("ropu_nm") == COUNTRY) & F.col("channel_vod__c").isin(CHANNELS) \

@@ -12,6 +12,7 @@ filter. Two ways to fill a catalog:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,10 +21,17 @@ from pyspark.sql import functions as F
 TableFactory = Callable[[], DataFrame]
 
 
+def name_parts(name: str) -> tuple[str, ...]:
+    """The parts of a qualified name; dots inside backticks don't part."""
+    return tuple(p.strip("`") for p in re.findall(r"`[^`]*`|[^.`]+", name))
+
+
 class Catalog:
-    def __init__(self, spark: SparkSession, tables: dict[str, TableFactory] | None = None):
+    def __init__(self, spark: SparkSession, tables: dict[str, TableFactory] | None = None,
+                 sources: dict[tuple[str, str], str] | None = None):
         self.spark = spark
         self._tables: dict[str, TableFactory] = dict(tables or {})
+        self._sources: dict[tuple[str, str], str] = dict(sources or {})
 
     # -- A1: stored tables by (qualified) name ----------------------------
     @classmethod
@@ -34,15 +42,32 @@ class Catalog:
         self._tables[name] = factory
 
     def table(self, name: str) -> DataFrame:
-        # A qualified name such as project.dataset.fct_orders resolves by its last part.
-        short = name.split(".")[-1].strip("`")
-        if short not in self._tables:
+        """The table of a name. A name with fewer parts than the registered one means the only table that ends in it; one with
+        more parts means a table registered without them. Anything else is unknown."""
+        asked = name_parts(name)
+        known = {n: name_parts(n) for n in self._tables}
+        longer = [n for n, p in known.items() if p[-len(asked):] == asked]
+        exact = [n for n in longer if known[n] == asked]
+        if len(exact or longer) > 1:
+            raise KeyError(f"table {name!r} is one of {sorted(longer)}")
+        shorter = sorted((n for n, p in known.items() if len(p) < len(asked) and asked[-len(p):] == p), key=lambda n: len(known[n]))
+        found = exact or longer or shorter[-1:]
+        if not found:
             raise KeyError(f"unknown table {name!r}; known: {sorted(self._tables)}")
-        return self._tables[short]()
+        return self._tables[found[0]]()
 
     # -- A2: logical source / upstream model ------------------------------
+    def declare_source(self, source_name: str, tables: dict[str, str]) -> None:
+        """Say which tables a source has: its own table names -> names of this catalog."""
+        self._sources |= {(source_name, t): n for t, n in tables.items()}
+
     def source(self, source_name: str, table_name: str) -> DataFrame:
-        return self.table(table_name)
+        """A table of a declared source. A catalog without declared sources has but one, whatever its name."""
+        if not self._sources:
+            return self.table(table_name)
+        if (source_name, table_name) not in self._sources:
+            raise KeyError(f"source {source_name!r} has no table {table_name!r}; declared: {sorted(self._sources)}")
+        return self.table(self._sources[source_name, table_name])
 
     def ref(self, model: str) -> DataFrame:
         return self.table(model)
@@ -53,13 +78,13 @@ class Catalog:
         tables = dict(self._tables)
         base = tables[name]
         tables[name] = lambda: base().where(condition)
-        return Catalog(self.spark, tables)
+        return Catalog(self.spark, tables, self._sources)
 
     def with_table(self, name: str, df: DataFrame) -> "Catalog":
         """A copy in which ``name`` is the given DataFrame (e.g. one micro-batch)."""
         tables = dict(self._tables)
         tables[name] = lambda: df
-        return Catalog(self.spark, tables)
+        return Catalog(self.spark, tables, self._sources)
 
     def names(self) -> list[str]:
         return sorted(self._tables)

@@ -45,7 +45,7 @@ class Layout:
     partition_field: str | None = None
     partition_kind: str | None = None
     range_start: int = 0
-    range_end: int = 100_000_000
+    range_end: int | None = 100_000_000     # None: no end, and so no partition of all that lies beyond
     range_interval: int = 10_000
     cluster_by: tuple[str, ...] = ()
     curve: bool = False                # cluster on all columns alike (interleaved key) instead of one after the other
@@ -76,7 +76,7 @@ def partition_value(layout: Layout) -> Column | None:
     if kind == "month":
         return month_start(c)
     if kind == "range":
-        in_range = (c >= layout.range_start) & (c < layout.range_end)
+        in_range = (c >= layout.range_start) if layout.range_end is None else (c >= layout.range_start) & (c < layout.range_end)
         bucket = F.floor((c - layout.range_start) / layout.range_interval) * layout.range_interval \
             + layout.range_start
         return F.when(in_range, bucket.cast("long"))
@@ -153,6 +153,12 @@ def choose_layout(df: DataFrame, if_column: str, layout: Layout, otherwise: Layo
     return layout if if_column in df.columns else (otherwise or Layout())
 
 
+def switched_layout(variables: dict, *choices: tuple[str, bool, dict]) -> Layout:
+    """A layout put together from the run's variables: the fields of each (variable, default, fields) that is on."""
+    on = [fields for name, default, fields in choices if variables.get(name, default)]
+    return Layout(**{k: v for fields in on for k, v in fields.items()})
+
+
 def write_parquet(df: DataFrame, path: str, layout: Layout = Layout(), mode: str = "overwrite") -> None:
     out = arrange(with_partition_column(df, layout), layout)
     # Static mode: a full write replaces everything and leaves the _SUCCESS
