@@ -23,6 +23,7 @@ from martlet.sources.catalog import Catalog
 from martlet.sources.footers import stored_max
 from martlet.sources.sinks import Layout, full_refresh, read_table
 from martlet.sources.target import Target
+from martlet.streaming.late_rows import run_late_refresh
 
 P = FIXTURE
 FIRST, SECOND = dt.datetime(2000, 7, 1), dt.datetime(2001, 2, 1)
@@ -172,3 +173,26 @@ def _e04_stored(cat: Catalog) -> DataFrame:
 
 register("d12_single_match_lookup_without_nested_loop", ORDERS_WITH_CUSTOMER_SQL)(
     lambda cat: M.orders_with_customer(cat, strict=True))
+
+
+# ------------------------------------------------------------------ B5 / B17: late and repeated files by event time
+def late_deliveries(cat: Catalog, landing: str) -> list:
+    """Writes the orders file by file: history, an increment that repeats its last weeks and brings a late week, that file again, the rest,
+    and a quarter that comes years late."""
+    at = F.col("ordered_at")
+    week = _between(FIRST - dt.timedelta(days=12), FIRST - dt.timedelta(days=5))
+    parts = [_between(None, FIRST) & ~_late() & ~week, _between(FIRST - dt.timedelta(days=25), SECOND), _between(FIRST - dt.timedelta(days=25), SECOND),
+             _between(SECOND, None), _late()]
+    for condition in parts:
+        cat.table("fct_orders").where(condition & at.isNotNull()).coalesce(1).write.mode("append").parquet(landing)
+    return parts
+
+
+@register("b05_late_rows_streaming", ORDERS_WITH_CUSTOMER_SQL)
+def _b05_stream(cat: Catalog) -> DataFrame:
+    spark = cat.spark
+    landing, target = scratch_path(spark, "late"), Target(spark, scratch_path(spark, "b05s"), IM.ORDERS_WITH_CUSTOMER_BY_MONTH)
+    late_deliveries(cat, landing)
+    run_late_refresh(spark, landing, cat.table("fct_orders").schema, target, lambda batch: M.orders_with_customer(cat.with_table("fct_orders", batch)),
+                     scratch_path(spark, "late-ckpt"), "ordered_at", "60 days", files_per_batch=1)
+    return target.read().select(*IM.J15_COLUMNS)
