@@ -19,7 +19,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 def test_sql_queries(spark, key):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     frame = QUERIES[key](spark, SF)
     cols = sorted(frame.columns)
@@ -181,6 +181,42 @@ def test_quality_verdicts_on_texts_of_the_wrong_language(spark):
     assert got[2000].n_words == 30 and got[2000].char_distance > 0.25
 
 
+def test_quality_of_rare_languages_and_brute_force_distances(spark):
+    rnd = random.Random(8)
+    common = {x: [f"{x}{i}" for i in range(60)] for x in ("aa", "bb", "cc", "dd")}
+
+    def text(x, n=150):
+        return " ".join(rnd.choice(common[x][:40]) if rnd.random() < 0.3 else "".join(rnd.choice("abcdefghij") for _ in range(7)) for _ in range(n))
+
+    rows = [(i, text("aa"), "aa") for i in range(3000)] + [(10_000 + i, text(x), x) for x in ("bb", "cc") for i in range(12)]     # 12 of 3,000: far under one in 200
+    rows += [(20_000, text("aa"), "bb"), (20_001, text("bb"), "aa"), (20_002, text("dd"), "dd"), (20_003, text("dd"), None), (20_004, text("bb"), "cc")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = {r.doc_id: r for r in quality.assess(frame).collect()}
+    assert all(r.kept for i, r in got.items() if 10_000 <= i < 20_000)
+    assert sum(r.kept for i, r in got.items() if i < 10_000) >= 2990
+    assert [got[20_000 + k].kept for k in range(5)] == [False, False, True, True, False]      # one text of dd, and no language: not judged by words
+    assert got[20_002].word_distance == got[20_003].word_distance == got[20_003].char_distance == 0
+
+    def js(p, q):
+        m = {k: (p.get(k, 0) + q.get(k, 0)) / 2 for k in {*p, *q}}
+        kl = lambda x: sum(v * math.log2(v / m[k]) for k, v in x.items() if v > 0)
+        return math.sqrt(max(0.0, (kl(p) + kl(q)) / 2))
+
+    def shares(counts, names):
+        total = sum(counts.values())
+        out = {k: counts[k] / total for k in names}
+        return out | {None: max(0.0, 1 - sum(out.values()))}
+
+    for x in ("aa", "bb"):
+        counts = collections.Counter(w for _, t, lang in rows if lang == x for w in t.split(" "))
+        names = sorted(counts, key=lambda w: (-counts[w], w))[:50]
+        for i, t, lang in rows[::97] + rows[-10:]:
+            if lang == x:
+                assert abs(got[i].word_distance - js(shares(collections.Counter(t.split(" ")), names), shares(counts, names))) < 1e-6
+    salted = {r.doc_id: r for r in quality.assess(frame, small=1).collect()}                  # references joined instead of broadcast
+    assert salted.keys() == got.keys() and all(salted[i].kept == r.kept and abs(salted[i].word_distance - r.word_distance) < 1e-9 for i, r in got.items())
+
+
 def test_word_hashes_are_split_like_the_pattern(texts):
     from martlet.llm import words as W
     data, off = W.utf8(pa.array([t for _, t in texts], pa.string()))
