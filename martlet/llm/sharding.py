@@ -57,16 +57,16 @@ def assign(docs: DataFrame, shards: int, vnodes: int = VNODES) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot, home_shard) for every row of ``docs`` (doc_id, text; others are ignored).
 
     ``size`` is the text's UTF-8 bytes plus 8; a null text has none, and the checksum of
-    an empty one. ``slot`` counts a shard's rows from 0 without gaps. Rows without id and
-    repeated rows are spread by their checksum's hash too, ranked after equal keys, and
-    each takes a slot. An empty table gives an empty result.
+    an empty one. ``slot`` counts a shard's rows from 0 without gaps. Rows without id have the place of
+    their checksum and size, whatever the number of shards. Rows that share an id share its place; they are ranked by
+    checksum and size there, and each takes a slot. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     ring = points(shards, vnodes)
     places, owners = [p for p, _ in ring], [s for _, s in ring]
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    key = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(shards), "text_crc32", "size")).otherwise(F.xxhash64("doc_id")), F.lit(RING))
+    key = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("no id"), "text_crc32", "size")).otherwise(F.xxhash64("doc_id")), F.lit(RING))
     rows = rows.withColumn("key", key)
     # A row's arc: the ring is cut into equal cells of a few points each; those before the key are counted.
     cells = 1 << (len(places) - 1).bit_length()

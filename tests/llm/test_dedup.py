@@ -126,3 +126,16 @@ def test_rounds_on_counts_equal_rounds_on_rows():
 
 def test_sharding_empty(empty):
     assert sharding.assign(empty, 5).count() == 0
+
+
+def test_one_more_shard_moves_few_rows(spark):
+    """24 to 25 shards: rows with and without id move by about a shard's share, and by what bounded loads pass on."""
+    frame = spark.createDataFrame([(i if i % 2 else None, f"text {i}") for i in range(4000)], "doc_id long, text string")
+    def homes(n):
+        return {(r.doc_id, r.text_crc32): (r.home_shard, r.shard) for r in sharding.assign(frame, n).collect()}
+    a, b = homes(24), homes(25)
+    for known in (True, False):
+        rows = [k for k in a if (k[0] is not None) == known]
+        assert {b[k][0] for k in rows if a[k][0] != b[k][0]} == {24}        # homes change to the new shard only
+        assert sum(a[k][0] != b[k][0] for k in rows) < 0.06 * len(rows)
+        assert sum(a[k][1] != b[k][1] for k in rows) < 0.25 * len(rows)

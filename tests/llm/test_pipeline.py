@@ -1,5 +1,12 @@
+import random
+import re
+import zlib
+
+import numpy as np
+
 import corpus_pipeline as C
 from martlet.llm import decontaminate, near_dedup
+from martlet.llm.queries import tokenizer_path
 from martlet.llm.tables import store
 
 
@@ -46,3 +53,84 @@ def test_long_passages_of_one_or_two_lines_go(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in C.drop_lines(spark, frame, "").collect()}
     want = {1: rows[0][1], 2: "y", 3: " \nz", 4: rows[3][1], 6: rows[5][1]}
     assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
+BLANK, ALNUM = re.compile(r"[^\x20\x09-\x0D]+"), re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
+
+
+def plain_lines(rows):
+    """Later runs of three worded lines, or of one or two with 50 words, by trying all; rows come in order of their ids."""
+    out, seen = [], set()
+    for i, text in rows:
+        lines = text.split("\n")
+        at = [k for k, x in enumerate(lines) if BLANK.search(x)]
+        gone = set()
+        for size in (1, 2, 3):
+            for j in range(len(at) - size + 1):
+                run = tuple(lines[k] for k in at[j:j + size])
+                if size == 3 or sum(len(BLANK.findall(x)) for x in run) >= 50:
+                    if run in seen:
+                        gone.update(at[j:j + size])
+                    seen.add(run)
+        if len(gone) < len(at) or not at:
+            out.append((i, "\n".join(x for k, x in enumerate(lines) if k not in gone)))
+    return out
+
+
+def plain_near(rows):
+    sets, keep = [], []
+    for _, text in rows:
+        w = BLANK.findall(text.lower())
+        sets.append({tuple(w[j:j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a + 1, len(rows)):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = root[a], root[b]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    return [row for k, row in enumerate(rows) if root[k] == k]
+
+
+def plain_clean(rows, items):
+    grams = set()
+    for t in items:
+        w = ALNUM.findall((t or "").lower())
+        grams.update(tuple(w[j:j + 10]) for j in range(max(1, len(w) - 9)) if w)
+    sizes = {len(g) for g in grams}
+
+    def hit(text):
+        w = ALNUM.findall(text.lower())
+        return any(tuple(w[j:j + n]) in grams for n in sizes for j in range(len(w) - n + 1))
+    return [(i, t) for i, t in rows if not hit(t)]
+
+
+def test_run_against_plain_stages(spark, texts, tmp_path):
+    """All rows of ``run``: without labels every text with a letter passes language ID; rows without id, and two texts of one id, are there."""
+    from tokenizers import Tokenizer
+    rnd = random.Random(4)
+    rows = [(i, t) for i, t in texts if i is not None]
+    item = " ".join(texts[-2][1].split()[3:25])
+    rows += [(None, f"{texts[-2][1]} again"), (None, texts[6][1]), (30, "another text of the id thirty, with words of its own"), (70, "12 34 56"), (71, "\n".join(["a b c", "d e f", "g h i", "only here"])),
+             (71, "\n".join(["a b c", "d e f", "g h i"])), (72, " ".join(rnd.choice("pqrst") * 3 for _ in range(90)))]
+    frame = spark.createDataFrame([(i, t, None, "s", len(t or ""), "k", "t") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, _key string, _text string")
+    frame.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    hashed = {t: spark_hash for t, spark_hash in frame.selectExpr("text", "xxhash64(text) as h").collect()}
+    left = [(i, t) for i, t in rows if t and any(c.isalpha() for c in t)]
+    left.sort(key=lambda r: (r[0] is None, r[0] or 0, hashed[r[1]]))
+    left = plain_lines(left)
+    left = plain_near(left)
+    left = plain_clean(left, [item])
+    assert len(left) < len(rows) - 10 and None not in {i for i, _ in left}
+    got = C.run(spark, str(tmp_path)).collect()
+    tokenizer, want = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")), []
+    for i, t in left:
+        want.append((i, [*tokenizer.encode(t, add_special_tokens=False).ids, 1]))
+    pieces = {}
+    for r in got:
+        pieces.setdefault((r.doc_id, r.doc_tokens), []).append((r.start, r.length, r.ids_crc32))
+    assert sorted(pieces) == sorted((i, len(ids)) for i, ids in want)
+    for i, ids in want:
+        for start, length, crc in pieces[i, len(ids)]:
+            assert zlib.crc32(np.array(ids[start:start + length], "<u4").tobytes()) == crc
+        assert sum(n for _, n, _ in pieces[i, len(ids)]) == len(ids)
