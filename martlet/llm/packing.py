@@ -7,15 +7,16 @@ neighbouring documents are laid end to end along the curve and cut into sequence
 only the last sequence has padding.
 
 Token ids are computed once and kept in a table in the shared folder. Rows are dealt to
-ranges of the curve (the key's last bits are a hash of the id, so that a place which many
-equal texts share is cut too); the driver gets one number of tokens for each range, and
-each range lays out its rows in order from there.
+ranges of the curve with about as many tokens each, one partition a range; a place that holds
+more than a range is cut by a hash of the row. The driver gets one number of tokens for each
+range (MOST_RANGES and its hot places at most), and each range lays out its rows in order from there.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from itertools import chain
 
 import numpy as np
@@ -29,12 +30,12 @@ from martlet.llm.tables import store, task
 SEQUENCE = 2048
 END_ID = 1
 DIMS, BITS = 4, 10
-#: Bits of the id below the curve's key; together they fit in a double.
-TIE_BITS = 12
-#: Tokens of a range, about.
-RANGE = 1 << 24
-#: Texts between blanks whose ids a task remembers, and the longest that is remembered.
-REMEMBERED, LONGEST = 300_000, 64
+#: Tokens of a range, about, until there are MOST_RANGES; beyond that ranges grow.
+RANGE, MOST_RANGES = 1 << 24, 1 << 15
+#: Points of a range that tell where to cut it.
+POINTS = 1000
+#: Pieces whose ids a task remembers, their bytes, and the slots by which they are found.
+REMEMBERED, REMEMBERED_BYTES, SLOTS = 500_000, 1 << 24, 1 << 22
 
 
 def hilbert_key(places: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -64,11 +65,8 @@ def hilbert_key(places: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def places(column: pa.Array) -> np.ndarray:
-    """Integer places (rows, DIMS) in [0, 2**BITS): mean sign of the words in each direction."""
-    data, off = W.utf8(column)
-    ws, we, first = W.word_spans(data, off)
-    h = W.word_hashes(data, ws, we, fold=True)
+def places(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Integer places (rows, DIMS) in [0, 2**BITS): mean sign of each row's hashes in each direction."""
     count = np.diff(first)
     full = np.flatnonzero(count)
     mean = np.zeros((len(count), DIMS))
@@ -80,22 +78,36 @@ def places(column: pa.Array) -> np.ndarray:
 
 #: White space other than blank, tab and line ends: texts with any are encoded whole.
 _ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_BLANK = np.arange(256) != 0x20
+
+
+def _is_odd(text: str) -> bool:
+    """Whether some blank doesn't begin a piece, or the text may hold a special token."""
+    return "  " in text or " \n" in text or " \t" in text or " \r" in text or text[-1:] == " " or "<|" in text or _ODD.search(text) is not None
+
+
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Indices of all runs [start, start + size), one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class _Encoder:
     """Token ids of texts. A blank always begins a new piece of the tokenizer's pre-split unless it stands inside
-    a run of white space, so texts without such runs are encoded from blank to blank, and pieces are remembered."""
+    a run of white space, so texts without such runs are cut at blanks, and the ids of pieces are remembered.
 
-    TOGETHER = 1000
+    A remembered piece is an entry of flat arrays (hash, run of bytes, run of ids), found by its hash through a table
+    of one entry a slot; the bytes are compared too, so two pieces of one hash don't get each other's ids.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
         self.opens = np.zeros(1 << 16, bool)              # tokens that begin with a blank
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token[0] == "\u0120"          # how byte-level vocabularies write it
-
         self.ranked = self._ranked()
+        self._forget()
 
     def _ranked(self):
         """The same byte-level merges by rank, for pieces without special tokens; about three times as fast."""
@@ -108,42 +120,81 @@ class _Encoder:
         ranks = {k: v for k, v in ranks.items() if v not in self.tokenizer.get_added_tokens_decoder()}
         return tiktoken.Encoding("merges", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    def _forget(self) -> None:
+        self.slots = np.full(SLOTS, -1, np.int32)
+        self.hashes, self.bytes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, "<u2")
+        self.byte_at, self.id_at = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def _ids(self, texts: list[str]) -> dict[str, bytes]:
-        """Pieces from blank to blank are encoded many in one text; each begins where a token with a blank does."""
-        pieces = [x for x in texts if x[:1] == " " and len(x) > 1 and " " not in x[1:] and "<|" not in x]
-        out = {}
-        for i in range(0, len(pieces), self.TOGETHER):
-            group = pieces[i:i + self.TOGETHER]
-            ids = np.array(self.ranked.encode_ordinary("".join(group)), "<u2")
-            at = np.flatnonzero(self.opens[ids])
-            if len(at) == len(group):
-                raw, edges = ids.tobytes(), [*(2 * at).tolist(), 2 * len(ids)]
-                out.update((x, raw[a:b]) for x, a, b in zip(group, edges, edges[1:]))
-        out.update((x, self._whole(x)) for x in texts if x not in out)
-        return out
+    def _fresh(self, raw: np.ndarray, size: np.ndarray, led: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each piece). The pieces that a blank leads come first and are encoded in one text;
+        each begins where a token with a blank does. Of the others, each is a text of its own."""
+        cut = int(size[led].sum())
+        together = np.array(self.ranked.encode_ordinary(raw[:cut].tobytes().decode()), "<u2")
+        begins = np.flatnonzero(self.opens[together])
+        if len(begins) != led.sum():                       # another pre-split than expected
+            cut, led, together, begins = 0, np.zeros(len(led), bool), together[:0], begins[:0]
+        ends = cut + np.cumsum(size[~led])
+        single = [self.ranked.encode_ordinary(raw[e - n:e].tobytes().decode()) for e, n in zip(ends.tolist(), size[~led].tolist())]
+        counts = np.concatenate([np.diff(begins, append=len(together)), np.array([len(x) for x in single], np.int64)])
+        return np.concatenate([together, np.array(list(chain.from_iterable(single)), "<u2")]), counts
+
+    def _entries(self, data: np.ndarray, h: np.ndarray, start: np.ndarray, size: np.ndarray, led: np.ndarray) -> np.ndarray:
+        """The entry of each piece; pieces not known yet get one."""
+        slot = (h >> np.uint64(20)) & np.uint64(SLOTS - 1)
+        entry = self.slots[slot].astype(np.int64)
+        miss = np.flatnonzero((entry < 0) | (self.hashes[entry] != h) if len(self.hashes) else np.ones(len(h), bool))
+        _, at, back = np.unique(h[miss], return_index=True, return_inverse=True)
+        new = miss[at]
+        order = np.argsort(~led[new], kind="stable")
+        new = new[order]
+        if len(new):
+            raw = data[_runs(start[new], size[new])]
+            ids, counts = self._fresh(raw, size[new], led[new])
+            number = len(self.hashes) + np.arange(len(new))
+            rank = np.empty(len(new), np.int64)
+            rank[order] = number
+            entry[miss] = rank[back]
+            self.slots[slot[new]] = number
+            self.hashes, self.bytes, self.ids = np.concatenate([self.hashes, h[new]]), np.concatenate([self.bytes, raw]), np.concatenate([self.ids, ids])
+            self.byte_at = np.concatenate([self.byte_at, self.byte_at[-1] + np.cumsum(size[new])])
+            self.id_at = np.concatenate([self.id_at, self.id_at[-1] + np.cumsum(counts)])
+        return entry
+
+    def column(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The ids of each text (a null has none), the hashes of all stretches between blanks and where each text's begin."""
+        data, off = W.utf8(texts)
+        plain = [x or "" for x in texts.to_pylist()]
+        odd = np.array([_is_odd(x) for x in plain], bool)
+        ws, we, first = W.word_spans(data, off, _BLANK)
+        stretch = W.word_hashes(data, ws, we)
+        owner = np.repeat(np.arange(len(plain)), np.diff(first))
+        led = ws > off[owner]
+        start, size, h = ws - led, we - ws + led, np.where(led, stretch, ~stretch)
+
+        use = np.flatnonzero(~odd[owner])
+        entry = self._entries(data, h[use], start[use], size[use], led[use])
+        known = np.diff(self.byte_at)[entry]
+        same = known == size[use]
+        pos = _runs(self.byte_at[entry], np.where(same, known, 0))
+        differs = self.bytes[pos] != data[_runs(start[use], np.where(same, known, 0))]
+        if differs.any() or not same.all():               # one hash for two pieces
+            bad = np.repeat(np.arange(len(use)), np.where(same, known, 0))[differs]
+            odd[owner[use[np.union1d(bad, np.flatnonzero(~same))]]] = True
+        counts = np.diff(self.id_at)[entry]
+        raw = self.ids[_runs(self.id_at[entry], counts)].tobytes()
+        upto = np.zeros(len(plain) + 1, np.int64)
+        np.cumsum(np.bincount(owner[use], counts, len(plain)).astype(np.int64), out=upto[1:])
+        ends = (2 * upto).tolist()
+        out = [self._whole(x) if o else raw[a:b] for x, o, a, b in zip(plain, odd.tolist(), ends, ends[1:])]
+        if len(self.hashes) > REMEMBERED or len(self.bytes) > REMEMBERED_BYTES:
+            self._forget()
+        return out, stretch, first
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        known, parts = self.known, []
-        for text in texts:
-            if not text:
-                parts.append([])
-            elif "  " in text or " \n" in text or " \t" in text or " \r" in text or text[-1] == " " or "\0" in text or _ODD.search(text):
-                parts.append([text])
-            else:
-                parts.append(text.replace(" ", "\0 ").split("\0"))
-        new = set(chain.from_iterable(parts)).difference(known)
-        known.update(self._ids(sorted(new)))
-        out = [b"".join(map(known.__getitem__, own)) for own in parts]
-        if len(known) > REMEMBERED:
-            known.clear()
-        else:
-            for x in new:
-                if len(x) > LONGEST:
-                    del known[x]
-        return out
+        return self.column(pa.array(texts, pa.string()))[0]
 
 
 _encoders: dict[str, _Encoder] = {}
@@ -156,8 +207,9 @@ def _tokenise(path: str):
         end = np.array([END_ID], "<u2").tobytes()
         for batch in batches:
             for part in W.blocks(batch, "text"):
-                ids = [x + end for x in _encoders[path].encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hilbert_key(places(part.column(1)))), pa.array([len(x) // 2 for x in ids], pa.int64()),
+                ids, h, first = _encoders[path].column(part.column(1))
+                ids = [x + end for x in ids]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hilbert_key(places(h, first))), pa.array([len(x) // 2 for x in ids], pa.int64()),
                                                   pa.array(ids, pa.binary())], names=["doc_id", "key", "doc_tokens", "ids"])
     return run
 
@@ -182,26 +234,59 @@ def _cut(length: int, begins: dict[int, int]):
     return run
 
 
+def _cuts(coded: DataFrame, total: int, ranges: int) -> list[float]:
+    """Keys that cut the curve into ranges of about as many tokens each; a key that holds several ranges is named as often.
+
+    A row gives one point for each ``unit`` of its tokens, the rest by the chance of its tie bits, so about POINTS
+    points fall to a range. They settle where ranges end, not what is packed.
+    """
+    unit = max(1, total // (ranges * POINTS))
+    rest = (F.pmod(F.col("tie"), F.lit(unit)) < F.pmod(F.col("doc_tokens"), F.lit(unit))).cast("int")
+    points = coded.select(F.explode(F.array_repeat(F.col("key").cast("double"), (F.floor(F.col("doc_tokens") / unit) + rest).cast("int"))).alias("key"))
+    return sorted(points.approxQuantile("key", [i / ranges for i in range(1, ranges)], 0.1 / ranges)) if total and ranges > 1 else []
+
+
+def _ranged(coded: DataFrame, cuts: list[float]) -> tuple[DataFrame, int]:
+    """Rows with their range, and the number of ranges; ranges rise with (key, tie).
+
+    Rows from one cut to the next are a range. A key named n > 1 times gets n more for itself, by the high bits of
+    the tie, so many equal texts, or many long ones at one place, are no single task's.
+    """
+    times = Counter(cuts)
+    inner = sorted(times)
+    split = Bucketizer(splits=[-float("inf"), *(inner or [0.0]), float("inf")], inputCol="place", outputCol="bucket")
+    base = 1
+    numbers = [(0, 0, 0, None)]
+    for i, key in enumerate(inner or [0.0], 1):
+        own = times[key] if times[key] > 1 else 0
+        numbers.append((i, base, own, int(key)))
+        base += own + 1
+    table = coded.sparkSession.createDataFrame(numbers, "bucket int, base int, own int, hot long")
+    share = F.col("tie").cast("double") / 2.0 ** 64 + 0.5
+    placed = split.transform(coded.withColumn("place", F.col("key").cast("double"))).withColumn("bucket", F.col("bucket").cast("int"))
+    inside = F.when((F.col("own") > 0) & (F.col("key") == F.col("hot")), F.least(F.floor(share * F.col("own")), F.col("own") - 1)).otherwise(F.col("own"))
+    return placed.join(F.broadcast(table), "bucket").withColumn("range", (F.col("base") + inside).cast("int")).drop("place", "bucket", "base", "own", "hot"), base
+
+
 def pack(docs: DataFrame, tokenizer: str, length: int = SEQUENCE) -> DataFrame:
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of all rows of ``docs``.
 
     ``docs`` has doc_id and text (other columns are ignored); ``tokenizer`` is the path of a
     tokenizer file with ids below 65,536, readable on every executor. A null text is empty
-    and has the end id alone. Ties on the curve are ordered by id; repeated rows are packed
-    each. An empty table gives no pieces.
+    and has the end id alone. Ties on the curve are ordered by a hash of id and tokens;
+    repeated rows are packed each. An empty table gives no pieces.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    coded = store(docs.mapInArrow(task(_tokenise(tokenizer)), "doc_id long, key long, doc_tokens long, ids binary"), "tokens")
-    line = coded.withColumn("place", (F.shiftleft("key", TIE_BITS) + F.pmod(F.xxhash64("doc_id"), F.lit(1 << TIE_BITS))).cast("double"))
+    coded = docs.mapInArrow(task(_tokenise(tokenizer)), "doc_id long, key long, doc_tokens long, ids binary")
+    coded = store(coded.withColumn("tie", F.xxhash64("doc_id", "ids")), "tokens")
     total = coded.agg(F.coalesce(F.sum("doc_tokens"), F.lit(0))).first()[0]
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE)
-    inner = sorted(set(line.approxQuantile("place", [i / ranges for i in range(1, ranges)], 0.1 / ranges))) if total else []
-    ranged = Bucketizer(splits=[-float("inf"), *(inner or [0.0]), float("inf")], inputCol="place", outputCol="range").transform(line)
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(total // RANGE, MOST_RANGES))
+    ranged, count = _ranged(coded, _cuts(coded, total, ranges))
     begins, at = {}, 0
     for r in ranged.groupBy("range").agg(F.sum("doc_tokens").alias("n")).orderBy("range").collect():
         begins[r["range"]] = at
         at += r["n"]
-    return (ranged.select("range", "doc_id", "ids", "place").repartition(ranges, "range").sortWithinPartitions("range", "place", "doc_id", F.xxhash64("ids"))
+    return (ranged.select("range", "doc_id", "ids", "key", "tie").repartitionById(count, "range").sortWithinPartitions("range", "key", "tie", "doc_id")
             .select("range", "doc_id", "ids")
             .mapInArrow(task(_cut(length, begins)), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"))

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from martlet.llm import language_id, lm_score, packing, quality, toxicity
 from martlet.llm.queries import ORACLE, QUERIES, tokenizer_path
@@ -136,6 +137,45 @@ def test_packing_round_trip(docs, texts, empty):
     assert packing.pack(empty, path).count() == 0
 
 
+def test_ranges_hold_tokens_alike(spark):
+    rnd = random.Random(3)
+    same = "one text that a third of all rows has " * 5
+    rows = [(i, same if i % 3 == 0 else " ".join(f"w{rnd.randint(0, 900)}" for _ in range(rnd.choice([3, 30, 2000 if i % 50 == 1 else 60])))) for i in range(3000)]
+    coded = (spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+             .mapInArrow(packing._tokenise(tokenizer_path("byte_bpe_50k.json")), "doc_id long, key long, doc_tokens long, ids binary")
+             .withColumn("tie", F.xxhash64("doc_id", "ids")).cache())
+    total = coded.agg(F.sum("doc_tokens")).first()[0]
+    ranged, count = packing._ranged(coded, packing._cuts(coded, total, 40))
+    got = ranged.select("range", "key", "tie", "doc_tokens").orderBy("key", "tie").collect()
+    assert len(got) == 3000 and [r.range for r in got] == sorted(r.range for r in got) and got[-1].range < count <= 81
+    held = collections.Counter()
+    for r in got:
+        held[r.range] += r.doc_tokens
+    assert max(held.values()) < 2 * total / 40 + max(r.doc_tokens for r in got)
+    copies = next(r.key for r in coded.filter("doc_id = 0").collect())
+    assert len({r.range for r in got if r.key == copies}) > 3
+    coded.unpersist()
+
+
+def test_sequences_follow_the_curve(spark, docs):
+    path = tokenizer_path("byte_bpe_50k.json")
+    coded = docs.select("doc_id", "text").mapInArrow(packing._tokenise(path), "doc_id long, key long, doc_tokens long, ids binary")
+    keys = {r.doc_id: r.key for r in coded.select("doc_id", "key").collect()}
+    rows = sorted(packing.pack(docs, path, length=64).collect(), key=lambda r: (r.sequence_id, r.offset))
+    line = [keys[r.doc_id] for r in rows]
+    assert line == sorted(line) and len(set(line)) > 20
+
+
+def test_pieces_of_one_hash(monkeypatch):
+    path = tokenizer_path("byte_bpe_50k.json")
+    texts = [" ".join(f"word{i * j % 17} und {j}" for j in range(30)) for i in range(20)] + [None, "", "word1", " word1"]
+    want = packing._Encoder(path).encode(texts)
+    plain = packing.W.word_hashes
+    monkeypatch.setattr(packing.W, "word_hashes", lambda *a, **k: plain(*a, **k) % np.uint64(5))
+    one = packing._Encoder(path)
+    assert one.encode(texts) == want and one.encode(texts) == want
+
+
 def test_pieces_equal_whole_texts():
     from tokenizers import Tokenizer
     path = tokenizer_path("byte_bpe_50k.json")
