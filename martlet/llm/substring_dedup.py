@@ -34,6 +34,8 @@ from martlet.llm.tables import store, task
 WINDOW = 50
 #: Fingerprints of one shard's documents, about eight megabytes of text.
 SHARD = 100_000
+#: Share of all fingerprint rows (one in HOT) beyond which a fingerprint isn't dealt to one task.
+HOT = 1000
 
 
 def _extreme(x: np.ndarray, n: int, f) -> np.ndarray:
@@ -231,6 +233,16 @@ def _whole(digest: bool):
     return run
 
 
+def _recurring(anchors: DataFrame, total: int) -> DataFrame:
+    """The rows whose fingerprint stands in two documents. Fingerprints with more than one HOT-th of all ``total`` rows are
+    fewer than HOT; they are broadcast, so their rows stay where they are, and only the others are dealt by fingerprint."""
+    again = store(anchors.groupBy("fp").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
+                  .filter("lo < hi").select("fp", (F.col("n") * HOT > total).alias("hot")), "again")
+    hot = F.broadcast(again.filter("hot").select("fp"))
+    others = anchors.join(hot, "fp", "left_anti").join(again.filter("not hot").select("fp"), "fp")
+    return anchors.join(hot, "fp", "left_semi").unionByName(others)
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, digest: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for every row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -243,10 +255,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, digest: bool = False)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = docs.filter("doc_id is not null")
     anchors = store(named.mapInArrow(task(_anchors(window)), "fp long, doc_id long, pos int"), "anchors")
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-anchors.count() // SHARD))
-
-    again = anchors.groupBy("fp").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("fp")
-    recurring = store(anchors.join(again, "fp"), "recurring")
+    total = anchors.count()
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD))
+    recurring = store(_recurring(anchors, total), "recurring")
     held = recurring.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("anchors")).withColumnRenamed("doc_id", "id")
     holding = store(named.join(held.hint("shuffle_hash"), F.col("doc_id") == F.col("id")).select("doc_id", "text", "anchors"), "holding")
 
