@@ -47,7 +47,11 @@ def _extreme(x: np.ndarray, n: int, f) -> np.ndarray:
 
 
 def fingerprints(h: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, gram hashes) of the grams that some window of one document selects."""
+    """(positions, gram hashes) of the grams that some window of one document selects.
+
+    Of equal grams in a row within ``span`` positions the first and the last stay: a window over one
+    between them holds one of these too, so a word said many times has few fingerprints, not one a place.
+    """
     k = window // 2
     g, starts = W.grams(h, k), W.gram_starts(first, window)
     if len(h) < window or not starts.any():
@@ -58,7 +62,11 @@ def fingerprints(h: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndar
     padded = np.concatenate([np.zeros(span - 1, np.uint64), least, np.zeros(span - 1, np.uint64)])
     most = _extreme(padded, span, np.maximum)[:len(g)]                  # greatest of the minima of windows over a gram
     at = np.flatnonzero((most == g) & (g != 0))
-    return at, g[at]
+    value, doc = g[at], np.searchsorted(first, at, side="right")
+    alike = (value[1:] == value[:-1]) & (doc[1:] == doc[:-1]) & (at[1:] // span == at[:-1] // span)
+    keep = np.ones(len(at), bool)
+    keep[1:-1] = ~(alike[1:] & alike[:-1])
+    return at[keep], value[keep]
 
 
 def _parts(batches):

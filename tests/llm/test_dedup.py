@@ -2,6 +2,7 @@ import hashlib
 import math
 import re
 
+import numpy as np
 import pytest
 
 from martlet.llm import line_dedup, near_dedup, sharding, substring_dedup
@@ -32,6 +33,21 @@ def test_substring_against_brute_force(docs, texts, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_every_window_has_its_least_gram_among_few_fingerprints():
+    rnd, window, k = np.random.default_rng(1), 50, 25
+    texts = [np.full(700, 5), np.tile([3, 9], 300), np.tile(np.arange(7), 60), rnd.integers(0, 3, 500), rnd.integers(0, 900, 800), np.full(49, 5), np.full(50, 5)]
+    texts.append(np.concatenate([np.full(90, 5), rnd.integers(0, 900, 40), np.full(200, 5)]))
+    h = substring_dedup.W.mix(np.concatenate(texts).astype(np.uint64) + np.uint64(1))
+    first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    at, value = substring_dedup.fingerprints(h, first, window)
+    g, chosen = substring_dedup.W.grams(h, k), dict(zip(at.tolist(), value.tolist()))
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        for s in range(a, b - window + 1):
+            least = g[s:s + window - k + 1].min()
+            assert any(chosen.get(p) == least for p in range(s, s + window - k + 1))
+    assert sum(p < 700 for p in chosen) < 60
+
+
 def test_hot_fingerprints_are_found_alike(spark, monkeypatch):
     rows = [(7, i, 0) for i in range(400)] + [(8, 1, j) for j in range(300)] + [(100 + i // 2, i % 2 * (i % 3), i) for i in range(300)]
     rows += rows[:5]
