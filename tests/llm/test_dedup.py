@@ -48,21 +48,6 @@ def test_every_window_has_its_least_gram_among_few_fingerprints():
     assert sum(p < 700 for p in chosen) < 60
 
 
-def test_hot_fingerprints_are_found_alike(spark, monkeypatch):
-    rows = [(7, i, 0) for i in range(400)] + [(8, 1, j) for j in range(300)] + [(100 + i // 2, i % 2 * (i % 3), i) for i in range(300)]
-    rows += rows[:5]
-    anchors = spark.createDataFrame(rows, "fp long, doc_id long, pos int")
-    docs_of = {}
-    for fp, doc, _ in rows:
-        docs_of.setdefault(fp, set()).add(doc)
-    want = sorted(r for r in rows if len(docs_of[r[0]]) > 1)
-    for hot in (1, 4, 100, 10 ** 6):                   # none, the first, the most frequent, all
-        monkeypatch.setattr(substring_dedup, "HOT", hot)
-        found = substring_dedup._recurring(anchors, len(rows)).select("fp", "doc_id", "pos")
-        assert sorted(map(tuple, found.collect())) == want
-    assert substring_dedup._recurring(anchors.limit(0), 0).count() == 0
-
-
 def test_near_duplicates_against_brute_force(docs, texts, empty):
     sets = {}
     for i, t in texts:
