@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 
 import numpy as np
@@ -48,6 +49,46 @@ def test_every_window_has_its_least_gram_among_few_fingerprints():
     assert sum(p < 700 for p in chosen) < 60
 
 
+def test_automaton_decides_what_is_removed():
+    h = substring_dedup.W.mix(np.arange(1, 301, dtype=np.uint64))
+    shard, empty = substring_dedup._Shard(), substring_dedup._Shard()
+    shard.add(3, h[100:160])
+    assert np.flatnonzero(shard.covered(9, h)).tolist() == list(range(100, 160))
+    assert not shard.covered(3, h).any() and not shard.covered(2, h).any()
+    assert not empty.covered(9, h).any()
+    near = h.copy()
+    near[130] ^= np.uint64(1 << 40)                    # another word with the same symbols
+    assert not shard.covered(9, near).any()
+    shard = substring_dedup._Shard()
+    shard.add(3, near[100:160]), shard.add(4, h[100:160])
+    assert shard.covered(9, h).sum() == shard.covered(9, near).sum() == 60
+    assert not shard.covered(4, h).any() and shard.covered(4, near).sum() == 60
+
+
+def test_substring_texts_of_one_id_are_judged_each_by_its_own(spark):
+    rnd = random.Random(4)
+    one, two = (" ".join(str(rnd.random()) for _ in range(n)) for n in (60, 300))
+    rows = [(1, one), (2, one), (2, two), (2, two), (3, "x " + two), (None, two), (3, None)]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), digest=True).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in got) == [(0, 300, 0), (1, 60, 0), (2, 60, 60), (2, 300, 0), (2, 300, 0), (3, 0, 0), (3, 301, 300)]
+
+
+def test_a_common_phrase_does_not_send_passages_everywhere(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SHARD", 200)
+    rnd = random.Random(5)
+    phrase = " ".join(f"p{i}" for i in range(40))
+    sent = []
+    for n in (150, 300):
+        rows = []
+        for i in range(n):
+            left, right = (" ".join(str(rnd.random()) for _ in range(12)) for _ in range(2))
+            rows += [(2 * i + j, f"{rnd.random()} {left} {phrase} {right} {rnd.random()}") for j in range(2)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        sent.append(substring_dedup.deal(df, 50).passages.count())
+        assert {r.n_removed for r in substring_dedup.remove_repeats(df).filter("doc_id % 2 = 1").collect()} == {64}
+    assert sent[0] <= 2 * 150 and sent[1] <= 2 * 300
+
+
 def test_near_duplicates_against_brute_force(docs, texts, empty):
     sets = {}
     for i, t in texts:
