@@ -18,11 +18,17 @@ from martlet.llm.tables import store
 WINDOW, GRAM = 10, 5
 
 
+def _grams(w: Column, n: int) -> Column:
+    """Hashes of n consecutive words at each place; of the words' hashes, so a word is read once."""
+    return let(F.transform(w, lambda x: F.xxhash64(x)),
+               lambda v: F.transform(upto(F.size(v) - (n - 1)), lambda i: F.xxhash64(*[F.get(v, i + (k - 1)) for k in range(n)])))
+
+
 def _fingerprints(w: Column) -> Column:
     """Structs (fp, lo, windows) of a word list."""
     def of_grams(h: Column) -> Column:
         return winnowed(h, F.size(w), GRAM, WINDOW, lambda g, i: F.xxhash64(F.get(g, i - 1), F.get(g, i + (WINDOW - GRAM - 1))))
-    return let(F.transform(upto(F.size(w) - (GRAM - 1)), lambda i: F.xxhash64(F.slice(w, i, GRAM))), of_grams)
+    return let(_grams(w, GRAM), of_grams)
 
 
 def _worded(df: DataFrame, key: str) -> DataFrame:
@@ -42,11 +48,18 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     met = _windows(worded, "doc_id").join(asked_windows.select("fp").distinct(), "fp", "left_semi")
     extended = met.select("doc_id", "fp", "lo", F.posexplode("windows").alias("step", "hash"))
     out = extended.join(asked_windows, ["fp", "hash"]).select("doc_id", "item_id", (F.col("lo") + F.col("step")).alias("at"), F.lit(WINDOW).alias("length"))
-    short = asked.filter((F.size("w") > 0) & (F.size("w") < WINDOW)).select("item_id", F.size("w").alias("length"), F.xxhash64("w").alias("hash"))
-    for n in sorted(r["length"] for r in short.select("length").distinct().collect()):      # at most WINDOW - 1 lengths
-        grams = worded.select("doc_id", F.posexplode(F.transform(upto(F.size("w") - (n - 1)), lambda i: F.xxhash64(F.slice("w", i, n)))).alias("at", "hash"))
-        out = out.unionAll(grams.join(short.filter(F.col("length") == n), "hash").select("doc_id", "item_id", F.col("at") + 1, "length"))
-    return out
+    short = asked.filter((F.size("w") > 0) & (F.size("w") < WINDOW))
+    lengths = sorted(r["n"] for r in short.select(F.size("w").alias("n")).distinct().collect())      # at most WINDOW - 1 lengths
+    if not lengths:
+        return out
+
+    def placed(w: Column) -> Column:
+        """Structs (length, at, hash) of the grams of all these lengths, so one pass finds them."""
+        return F.flatten(F.array(*[F.transform(_grams(w, n), lambda h, i: F.struct(F.lit(n).alias("length"), (i + 1).alias("at"), h.alias("hash"))) for n in lengths]))
+
+    whole = short.select("item_id", F.explode(placed(F.col("w"))).alias("g"), F.size("w").alias("size")).filter("g.length = size").select("item_id", "g.length", "g.hash")
+    return out.unionAll(worded.select("doc_id", F.explode(placed(F.col("w"))).alias("g")).select("doc_id", "g.*").join(whole, ["length", "hash"])
+                        .select("doc_id", "item_id", "at", "length"))
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:

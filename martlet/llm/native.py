@@ -36,7 +36,11 @@ def winnowed(h: Column, size: Column, gram: int, window: int, whole) -> Column:
     ``window`` units selects the least hash inside; runs of windows that select the same hash
     make one fingerprint, with the first window's number (from 1) and ``whole(h, i)`` of each window i.
     """
-    last = size - (window - 1)
+    last, width = size - (window - 1), window - gram + 1
+
+    def least(i: Column) -> Column:
+        own = [F.get(h, i + (k - 1)) for k in range(width)]
+        return F.least(*own) if width > 1 else own[0]
 
     def of_minima(m: Column) -> Column:
         starts = F.filter(upto(last), lambda i: (i == 1) | (F.get(m, i - 1) != F.get(m, i - 2)))
@@ -44,4 +48,4 @@ def winnowed(h: Column, size: Column, gram: int, window: int, whole) -> Column:
             F.get(m, lo - 1).alias("fp"), lo.alias("lo"),
             F.transform(F.sequence(lo, F.coalesce(F.get(s, j + 1) - 1, last)), lambda i: whole(h, i)).alias("windows"))))
 
-    return let(F.transform(upto(last), lambda i: F.array_min(F.slice(h, i, window - gram + 1))), of_minima)
+    return let(F.transform(upto(last), least), of_minima)
