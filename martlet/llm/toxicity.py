@@ -10,8 +10,8 @@ described by the mean of its words' evidence, the largest, and the excess over
 ``STRONG``, and a logistic curve turns these into a score.
 
 Counts come from labelled rows: at most ``PER_CLASS`` documents a class, drawn by a hash
-of the id; one part in five of them fits the curve instead. The model's size is
-bounded by that sample, so it is broadcast; scoring is one pass over the texts.
+of the id, and of each at most ``STRETCH`` characters; one part in five of them fits the
+curve instead. The driver's memory and the model's size are bounded by that sample, so it is broadcast; scoring is one pass over the texts.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from martlet.llm.tables import task, trim
 
 #: Labelled documents of a class that the models are fitted on, at most.
 PER_CLASS = 3000
+#: Characters that are taken of a labelled text in fitting, at most; longer ones give a stretch at a place drawn by the id's hash.
+STRETCH = 16_384
 ORDER, SHARED = 6, 2
 DISCOUNT = 0.75
 #: Evidence over which a word counts as strong, in nats a byte.
@@ -290,15 +292,18 @@ def fit(texts: list[str | None], toxic: np.ndarray, held: np.ndarray) -> Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
-    """At most ``per_class`` labelled texts of each class, drawn by a hash of the id."""
+    """At most ``per_class`` labelled texts of each class, drawn by a hash of the id; of long ones a stretch."""
     wanted = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in wanted.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = F.element_at(F.create_map(*[F.lit(x) for c in (0, 1) for x in (c, min(1.0, 1.5 * per_class / max(1, counts.get(c, 0))))]), F.col("toxic"))
     order = F.xxhash64(F.lit("toxicity"), "doc_id")
     drawn = wanted.filter(F.pmod(order, F.lit(1 << 20)) < share * (1 << 20))
     drawn = drawn.withColumn("place", F.row_number().over(Window.partitionBy("toxic").orderBy(order, "doc_id"))).filter(F.col("place") <= per_class)
-    return (docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(drawn), F.col("id") == F.col("doc_id"))
-            .select("doc_id", "text", "toxic", (F.pmod(order, F.lit(5)) == 0).alias("held")).dropDuplicates(["doc_id"]))
+    spare = F.char_length("text") - STRETCH
+    begin = F.when(spare > 0, F.pmod(F.xxhash64(F.lit("stretch"), "doc_id"), F.greatest(spare, F.lit(1))) + 1).otherwise(1).cast("int")
+    text = F.substring("text", begin, F.lit(STRETCH)).alias("text")
+    return (docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), F.col("id") == F.col("doc_id"))
+            .select("doc_id", text, "toxic", (F.pmod(order, F.lit(5)) == 0).alias("held")).dropDuplicates(["doc_id"]))
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:

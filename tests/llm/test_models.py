@@ -94,6 +94,9 @@ def test_toxicity_held_out(spark, docs, empty):
     made = [(i, ("mild grey fog over hills " * 20 + ("vileword" + "xyz"[i % 3] if i % 4 == 0 else "") + " calm"), int(i % 4 == 0)) for i in range(240)]
     rows = spark.createDataFrame(made, "doc_id long, text string, toxic int")
     model = toxicity.train(rows.select("doc_id", "text"), rows.filter("doc_id < 160").select("doc_id", "toxic"))
+    long = spark.createDataFrame([(1, "w" * 40_000), (2, "é" * 16_384), (3, None), (4, "")], "doc_id long, text string")
+    drawn = toxicity.sample(long, spark.createDataFrame([(i, i % 2) for i in range(1, 5)], "doc_id long, toxic int"), 9).collect()
+    assert {r.doc_id: len(r.text or "") for r in drawn} == {1: 16_384, 2: 16_384, 3: 0, 4: 0}
     told = {r.doc_id: r.score for r in toxicity.score(rows.drop("toxic"), model).collect()}
     assert all((told[i] >= 0.5) == bool(y) for i, _, y in made if i >= 160)
     assert all(0 <= r.score <= 1 for r in toxicity.score(docs, model).collect())
