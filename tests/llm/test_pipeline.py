@@ -34,6 +34,26 @@ def test_contamination_with_short_items_and_empty_tables(spark, docs, empty):
     assert decontaminate.contamination(docs, items.limit(0)).filter("contaminated").count() == 0
 
 
+def test_short_items_of_all_lengths_are_found_in_one_pass(spark):
+    w = [f"w{k}" for k in range(30)]
+    items = [(n, " ".join(w[n:2 * n])) for n in range(1, 13)] + [(20, "W1"), (21, "absent here"), (22, None)]
+    text = {1: " ".join(w), 2: "w1 w1 x w2, w3", 3: "w9", 4: None}
+    docs = spark.createDataFrame(list(text.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {}
+    for i, t in text.items():
+        words, hit, found = (t or "").replace(",", "").split(), set(), set()
+        for n, item in items:
+            own = (item or "").lower().split()
+            size = min(10, len(own))
+            for j in range(len(own) - size + 1):
+                for at in range(len(words) - size + 1):
+                    if size and words[at:at + size] == own[j:j + size]:
+                        hit.update(range(at, at + size)), found.add(n)
+        want[i] = (len(hit), len(found))
+    assert got == want and want[1][1] == 13
+
+
 def test_near_copies_between_80_and_85_percent_go(spark):
     plain = [f"w{i}" for i in range(200)]
     near, far = plain.copy(), plain.copy()
