@@ -13,9 +13,10 @@ read: after every ``TOGETHER`` choices the document's weights move along the gra
 the coding cost, starting afresh every ``RUN`` choices. Costs add up to the log probability.
 
 Counts of words, pairs and contexts cover all training rows and are summed by Spark; the
-tables that they fill have a fixed size and are broadcast. Gate weights are fitted on at
-most ``FIT_DOCS`` training documents, each choice predicted with its own occurrence taken
-out of the counts. For the base score the counts of other than frequent words are joined.
+tables that they fill have a fixed size and are broadcast. Gate weights are fitted on all
+choices of all training rows, each with its own occurrence taken out of the counts: tasks
+count them in histograms of gate and predictions (in ``LEVELS`` steps), whose sums fix the
+weights. For the base score the counts of other than frequent words are joined.
 """
 
 from __future__ import annotations
@@ -34,19 +35,25 @@ from martlet.llm.tables import store, task, trim
 ORDERS = (3, 5, 0)
 #: Slots of each predictor, as powers of two.
 SLOT_BITS = (20, 21, 22)
-#: Unit of the stored log odds, and their bound.
-UNIT, BOUND = 1 / 15, 8.4
+#: Counts are stored as they are where the smaller is under FEW, but the larger from EXACT on in steps of a factor of exp(STEP); else as log odds
+#: in units of UNIT and a class of their sum (less than the first of SUMS, of the second, and more), which stands for the sum beside it.
+FEW, EXACT, STEP, UNIT, SUMS = 24, 512, 0.036, 1 / 60, ((60, 54), (300, 130), (math.inf, 1e9))
+#: Bound of the log odds, and of their mixture.
+BOUND, MIXED = 8.4, 40.0
 #: Counts that bound the classes of evidence which choose a gate.
 EVIDENCE = (1, 2, 3, 5, 9, 20, 60, 300)
 #: Choices after which a document's weights start afresh, choices of one update, and the updates' speed.
 RUN, TOGETHER, RATE = 4096, 16, 0.004
-FIT_DOCS = 600
-FREQUENT, SEEN = 500_000, 8
+FREQUENT, SEEN = 2_000_000, 8
 TABLE_TASKS = 64
 CHUNK = 1 << 14
 END = b"\n"                                                # can't stand in a word
 CLASSES = 2 * (len(EVIDENCE) + 1)
 TOPICS, TOPIC_SLOT_BITS = 255, 22
+#: Steps of each predictor's log odds in the histograms of words' and letters' choices, and their cells for one gate.
+LEVELS, CELLS = ((64, 64), (16, 16, 16)), 4096
+#: Weight of the gates' first guess, in choices; Newton steps to the fit, and halvings of one.
+PRIOR, STEPS, HALVINGS = 10.0, 12, 8
 
 _U = np.uint64
 END_HASH = int(W.word_hashes(np.frombuffer(END, np.uint8), np.array([0]), np.array([1])).view(np.int64)[0])
@@ -59,25 +66,25 @@ class Code:
     """Huffman tree of symbol counts: each symbol's nodes and choices."""
 
     def __init__(self, counts: np.ndarray):
+        size = len(counts)
         heap = [(int(c) + 1, i) for i, c in enumerate(counts)]
         heapq.heapify(heap)
-        parent, number = {}, len(counts)
-        while len(heap) > 1:
+        above, side = np.full(max(1, 2 * size - 1), -1, np.int32), np.zeros(max(1, 2 * size - 1), np.int8)
+        for number in range(size, 2 * size - 1):
             (a, x), (b, y) = heapq.heappop(heap), heapq.heappop(heap)
-            parent[x], parent[y] = (number, 0), (number, 1)
+            above[x] = above[y] = number
+            side[y] = 1
             heapq.heappush(heap, (a + b, number))
-            number += 1
-        nodes, bits, self.first = [], [], np.zeros(len(counts) + 1, np.int64)
-        for symbol in range(len(counts)):
-            path, at = [], symbol
-            while at in parent:
-                path.append(parent[at])
-                at = parent[at][0]
-            for node, bit in reversed(path):
-                nodes.append(node - len(counts)), bits.append(bit)
-            self.first[symbol + 1] = len(nodes)
-        self.nodes, self.bits = np.array(nodes, np.int64), np.array(bits, np.int8)
-        self.scattered = self.nodes.astype(_U) * _U(0x9E3779B97F4A7C15)
+        depth = np.zeros(len(above), np.int64)
+        for number in range(len(above) - 2, -1, -1):                   # a node's number is above its children's
+            depth[number] = depth[above[number]] + 1
+        self.first = np.concatenate([np.zeros(1, np.int64), np.cumsum(depth[:size])])
+        self.nodes, self.bits = np.empty(self.first[-1], np.int32), np.empty(self.first[-1], np.int8)
+        at, place = np.arange(size, dtype=np.int32), self.first[1:] - 1
+        while len(at := at[live := above[at] >= 0]):                   # all paths at once, from their ends
+            place = place[live]
+            self.nodes[place], self.bits[place] = above[at] - size, side[at]
+            at, place = above[at], place - 1
 
     def paths(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index of each symbol's first choice, and one more; places of the choices in nodes and bits)."""
@@ -88,15 +95,19 @@ class Code:
         return begins, at
 
 
-def _slots(context: np.ndarray, size: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
+def _slots(context: np.ndarray, size: np.ndarray, scattered: np.ndarray, bits: int) -> np.ndarray:
     """Slots in a table of 2 ** bits of choices at scattered nodes, ``size`` of them in each context."""
     slot = np.repeat(context, size)
-    slot ^= node
+    slot ^= scattered
     slot *= _U(0xBF58476D1CE4E5B9)
     slot >>= _U(64 - bits)
     return slot.view(np.int64)
 
 
+def _scattered(node: np.ndarray) -> np.ndarray:
+    return node.astype(_U) * _U(0x9E3779B97F4A7C15)
+
+
 def _letters(code: Code, data: np.ndarray, ws: np.ndarray, we: np.ndarray):
     """Of words and a blank after each: (index of each word's first choice, slots of each predictor, choices)."""
     size = we - ws + 1
@@ -121,16 +132,17 @@ def _letters(code: Code, data: np.ndarray, ws: np.ndarray, we: np.ndarray):
             c = out
         contexts.append(W.mix(c + np.minimum(depth, order or 255).astype(_U) + _U(1000 + order)))
     begins, at = code.paths(text)
-    size, node = np.diff(begins), code.scattered[at]
+    size, node = np.diff(begins), _scattered(code.nodes.take(at))
     slots = [_slots(c, size, node, b) for c, b in zip(contexts, SLOT_BITS)]
-    return begins[np.concatenate([np.zeros(1, np.int64), stop])], slots, code.bits[at]
+    return begins[np.concatenate([np.zeros(1, np.int64), stop])], slots, code.bits.take(at)
 
 
 def _topic_slots(code: Code, topic: np.ndarray, symbol: np.ndarray):
     """Of (topic, symbol) pairs: (index of each pair's first choice, tree nodes, slots of the topic's predictor, choices)."""
     begins, at = code.paths(symbol)
-    slot = _slots(W.mix(topic.astype(_U) + _U(7)), np.diff(begins), code.scattered[at], TOPIC_SLOT_BITS)
-    return begins, code.nodes[at], slot, code.bits[at]
+    node = code.nodes.take(at)
+    slot = _slots(W.mix(topic.astype(_U) + _U(7)), np.diff(begins), _scattered(node), TOPIC_SLOT_BITS)
+    return begins, node, slot, code.bits.take(at)
 
 
 def _log_odds(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -142,12 +154,33 @@ def _evidence(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return (2 * np.searchsorted(EVIDENCE, n0 + n1, side="right") + ((n0 > 0) & (n1 > 0))).astype(np.uint8)
 
 
-def _gate(kind: int, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    return (kind * CLASSES + other.astype(np.int64)) * CLASSES + one
+def _told(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """Both counts of each slot as one number of 16 bits."""
+    least, most = np.minimum(n0, n1), np.maximum(n0, n1)
+    large = np.minimum(EXACT + np.rint(np.log(np.maximum(most, EXACT) / EXACT) / STEP), 1023)
+    few = (2 * least + (n1 > n0)) * 1024 + np.where(most < EXACT, most, large)
+    kind = np.searchsorted([most for most, _ in SUMS[:-1]], n0 + n1, side="right")
+    return np.where(least < FEW, few, (2 * FEW + kind) * 1024 + np.rint((_log_odds(n0, n1) + BOUND) / UNIT)).astype(np.uint16)
+
+
+def _readings():
+    """Of each such number, log odds and evidence; and both with one occurrence of choice 0 (first half) or 1 taken out."""
+    high, low = np.divmod(np.arange(1 << 16), 1024)
+    most = np.where(low < EXACT, low, np.rint(EXACT * np.exp(STEP * (low - EXACT))))
+    total = np.array([x for _, x in SUMS])[np.clip(high - 2 * FEW, 0, len(SUMS) - 1)]
+    share = 1 / (1 + np.exp(BOUND - low * UNIT))
+    n0, n1 = (np.where(high < 2 * FEW, few, own).astype(np.float32) for few, own in (
+        (np.where(high % 2, high // 2, most), total * (1 - share)), (np.where(high % 2, most, high // 2), total * share)))
+    less0, less1 = np.concatenate([np.maximum(n0 - 1, 0), n0]), np.concatenate([n1, np.maximum(n1 - 1, 0)])
+    return _log_odds(n0, n1), _evidence(n0, n1), _log_odds(less0, less1), _evidence(less0, less1)
 
 
-def _rounded(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
-    return np.rint(_log_odds(n0, n1) / UNIT).astype(np.int8)
+_ODDS, _SEEN, _ODDS_WITHOUT, _SEEN_WITHOUT = _readings()
+_LEVEL = {levels: np.minimum((_ODDS_WITHOUT + BOUND) * (levels / (2 * BOUND)), levels - 1).astype(np.uint8) for levels in {k for own in LEVELS for k in own}}
+
+
+def _gate(kind: int, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return (kind * CLASSES + other.astype(np.int64)) * CLASSES + one
 
 
 class Symbols:
@@ -176,35 +209,25 @@ class Symbols:
         return symbol, np.where(last >= begin, own[last], 0), edges
 
 
-def _told(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
-    """Log odds and evidence of each slot side by side, read as one number."""
-    return np.stack([_rounded(n0, n1), _evidence(n0, n1).view(np.int8)], axis=1).view(np.int16)[:, 0]
-
-
-def _look_up(table: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found = table.take(slot).view(np.int8)
-    return found[::2], found[1::2]
-
-
 class Model:
-    """Codes, counts turned to log odds and evidence (one byte a slot each), and gate weights."""
+    """Codes, the tables' counts, and gate weights."""
 
-    def __init__(self, symbols: Symbols, letters: Code, node: np.ndarray, topic: np.ndarray, tables: list[np.ndarray], gates: np.ndarray):
-        self.symbols, self.letters, self.gates = symbols, letters, gates
-        self.word_tables, self.letter_tables = ([_told(n0, n1) for n0, n1 in own] for own in ((node, topic), tables))
+    def __init__(self, symbols: Symbols, letters: Code, word_tables: list[np.ndarray], letter_tables: list[np.ndarray], gates: np.ndarray):
+        self.symbols, self.letters, self.gates = symbols, letters, np.ascontiguousarray(gates.T)
+        self.word_tables, self.letter_tables = word_tables, letter_tables
 
     def _rows(self, kind: int, tables: list[np.ndarray], slots: list[np.ndarray], bits: np.ndarray) -> np.ndarray:
         """Log odds towards what was chosen, and last their mixture by the gates."""
-        found = [_look_up(t, s) for t, s in zip(tables, slots)]
-        weights = self.gates.take(_gate(kind, found[-2][1], found[-1][1]), axis=0)
+        found = [t.take(s) for t, s in zip(tables, slots)]
+        gate = _gate(kind, _SEEN.take(found[-2]), _SEEN.take(found[-1]))
         sign = (2 * bits - 1).astype(np.float32)
         rows = np.zeros((len(bits), INPUTS + 1), np.float32)
-        mixed = weights[:, -1].copy()
-        for k, (x, _) in enumerate(found):
-            x = x * np.float32(UNIT)
-            mixed += weights[:, k] * x
-            rows[:, k] = x * sign
-        rows[:, -1] = mixed * sign
+        mixed = self.gates[-1].take(gate)
+        for k, told in enumerate(found):
+            x = _ODDS.take(told)
+            mixed += self.gates[k].take(gate) * x
+            np.multiply(x, sign, out=rows[:, k])
+        np.multiply(np.clip(mixed, -MIXED, MIXED), sign, out=rows[:, -1])
         return rows
 
     def word_rows(self, topic, symbol):
@@ -237,7 +260,6 @@ class Model:
         source -= np.cumsum(size) - size
         source = np.repeat(source, size)
         source += np.arange(len(source))
-        read = rows.take(source, axis=0).reshape(-1, TOGETHER, INPUTS + 1)
         updates = -(-own // TOGETHER)
         runs = -(-own // RUN)
         doc = np.repeat(np.arange(documents), runs)
@@ -246,30 +268,64 @@ class Model:
         length = np.minimum(RUN // TOGETHER, updates[doc] - RUN // TOGETHER * nth)
         order = np.argsort(-length, kind="stable")
         doc, start, length = doc[order], start[order], length[order]
-        cost, delta = np.zeros(len(doc)), np.zeros((len(doc), INPUTS), np.float32)
-        for t in range(int(length[0])):
-            m = int(np.searchsorted(-length, -t, side="left"))
-            own = read.take(start[:m] + t, axis=0)
-            x = np.matmul(own[:, :, :-1], delta[:m, :, None])[:, :, 0]
-            x += own[:, :, -1]
+        live = np.searchsorted(-length, -np.arange(length[0]), side="left")    # runs that have a t-th update
+        edges = np.concatenate([np.zeros(1, np.int64), np.cumsum(live)])
+        t = np.arange(edges[-1]) - np.repeat(np.cumsum(length) - length, length)
+        moved = np.empty(edges[-1], np.int64)                          # all runs' first updates, their second ones, ...
+        moved[edges[t] + np.repeat(np.arange(len(length)), length)] = np.repeat(start, length) + t
+        source = source.reshape(-1, TOGETHER).take(moved, axis=0)
+        rows = rows.view(np.complex128)[:, 0]                          # a row is taken as one number of 16 bytes
+        cost, delta = np.zeros(len(doc)), np.zeros((INPUTS, len(doc)), np.float32)
+        for m, lo, hi in zip(live, edges[:-1], edges[1:]):
+            own = rows.take(np.ascontiguousarray(source[lo:hi].T)).view(np.float32).reshape(-1, INPUTS + 1)
+            own = np.ascontiguousarray(own.T).reshape(INPUTS + 1, TOGETHER, m)
+            x = own[-1]
+            for k in range(INPUTS):
+                x += own[k] * delta[k, :m]
             np.negative(x, out=x)
+            np.minimum(x, 2 * np.float32(MIXED), out=x)
             np.exp(x, out=x)
-            cost[:m] += np.log(np.multiply.reduce(1 + x, axis=1, dtype=np.float64))
-            x /= x + 1
-            delta[:m] += np.float32(RATE) * np.matmul(x[:, None, :], own[:, :, :-1])[:, 0]
+            whole = x + 1
+            x /= whole
+            cost[:m] += np.log(whole, out=whole).sum(axis=0)
+            for k in range(INPUTS):
+                delta[k, :m] += np.float32(RATE) * (x * own[k]).sum(axis=0)
         return -np.bincount(doc, weights=cost, minlength=documents) / math.log(10)
 
 
-def _fold_words():
-    """SQL: the words of a text, A-Z lower-cased. ``lower`` does just that where a text is ASCII."""
-    text = F.when(F.octet_length("text") == F.char_length("text"), F.lower("text")).otherwise(
-        F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-    return F.split(text, "[\\x20\\x09-\\x0D]+")
+def _parts(batches, most: int = 4 << 20):
+    """The texts, in columns of about ``most`` bytes; a longer text may stand alone."""
+    kept, size = [], 0
+    for batch in batches:
+        for part in W.blocks(batch, "text", most):
+            kept.append(part)
+            size += part.nbytes
+            if size >= most:
+                yield pa.Table.from_batches(kept).column("text")
+                kept, size = [], 0
+    if kept:
+        yield pa.Table.from_batches(kept).column("text")
+
+
+def _spelt(data: np.ndarray, ws: np.ndarray, we: np.ndarray) -> pa.Array:
+    """Words of a text, A-Z lower-cased."""
+    size = we - ws
+    off = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+    at = np.repeat(ws - off[:-1], size)
+    at += np.arange(len(at))
+    return pa.StringArray.from_buffers(len(ws), pa.py_buffer(off.astype(np.int32)), pa.py_buffer(_FOLD[data[at]]))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) over all rows."""
-    return docs.select(F.explode(_fold_words()).alias("word")).filter("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    """(word, hash, n) over all rows."""
+    def run(batches):
+        for column in _parts(batches):
+            data, off = W.utf8(column)
+            ws, we, _ = W.word_spans(data, off)
+            h, at, n = np.unique(W.word_hashes(data, ws, we, fold=True).view(np.int64), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([_spelt(data, ws[at], we[at]), pa.array(h), pa.array(n)], names=["word", "hash", "n"])
+
+    return docs.select("text").mapInArrow(task(run), "word string, hash long, n long").groupBy("word", "hash").agg(F.sum("n").alias("n"))
 
 
 def _merged(batches, rows: int = 1 << 15):
@@ -285,11 +341,6 @@ def _merged(batches, rows: int = 1 << 15):
         yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
 
 
-def _words_of(batch: pa.RecordBatch):
-    data, off = W.utf8(batch.column(0))
-    return data, off[:-1], off[1:], batch.column(1).to_numpy()
-
-
 def _emit(tables: list[np.ndarray]):
     """Counts in parts; parts without any are left out."""
     for k, table in enumerate(tables):
@@ -304,38 +355,73 @@ def _fill(tables: list[np.ndarray], slots: list[np.ndarray], bits: np.ndarray, w
         np.add.at(table.reshape(-1), s + bits.astype(np.int64) * table.shape[1], weight)
 
 
-def _letter_tables(code: Code, often: np.ndarray):
+def _topic_choices(symbols: Symbols, letters: Code, batch: pa.RecordBatch):
+    """Of a batch of (pair, n): slots (nodes and the topic's predictor), choices and how often each was made."""
+    begins, node, slot, bits = _topic_slots(symbols.code, *np.divmod(batch.column(0).to_numpy(), symbols.escape + 1))
+    return [node, slot], bits, np.repeat(batch.column(1).to_numpy(), np.diff(begins))
+
+
+def _letter_choices(symbols: Symbols, letters: Code, batch: pa.RecordBatch):
+    """The same of a batch of (word, hash, n), for the words that are spelt."""
+    h, often = batch.column(1).to_numpy(), symbols.hashes
+    rare = np.flatnonzero(often[np.minimum(np.searchsorted(often, h), len(often) - 1)] != h)
+    data, off = W.utf8(batch.column(0))
+    begins, slots, bits = _letters(letters, data, off[:-1][rare], off[1:][rare])
+    return slots, bits, np.repeat(batch.column(2).to_numpy()[rare], np.diff(begins))
+
+
+def _letter_tables(codes):
     def run(batches):
         tables = [np.zeros((2, 1 << b), np.float32) for b in SLOT_BITS]
         for batch in _merged(batches):
-            data, ws, we, n = _words_of(batch)
-            rare = ~np.isin(W.word_hashes(data, ws, we, fold=True).view(np.int64), often)
-            begins, slots, bits = _letters(code, data, ws[rare], we[rare])
-            _fill(tables, slots, bits, np.repeat(n[rare], np.diff(begins)).astype(np.float32))
+            slots, bits, n = _letter_choices(*codes.value, batch)
+            _fill(tables, slots, bits, n.astype(np.float32))
         yield from _emit(tables)
     return run
 
 
-def _topic_tables(symbols: Symbols):
+def _topic_tables(codes):
     def run(batches):
         table = np.zeros((2, 1 << TOPIC_SLOT_BITS), np.float32)
         for batch in _merged(batches):
-            begins, _, slots, bits = _topic_slots(symbols.code, *np.divmod(batch.column(0).to_numpy(), symbols.escape + 1))
-            _fill([table], [slots], bits, np.repeat(batch.column(1).to_numpy(), np.diff(begins)).astype(np.float32))
+            (_, slot), bits, n = _topic_choices(*codes.value, batch)
+            _fill([table], [slot], bits, n.astype(np.float32))
         yield from _emit([table])
     return run
 
 
-def _pairs(held):
+def _cells(kind: int, tables: list[np.ndarray], slots: list[np.ndarray], bits: np.ndarray) -> np.ndarray:
+    """Cell of each choice in the histogram of its kind; its own occurrence is taken out of the counts."""
+    cell, seen, own = np.zeros(len(bits), np.int64), [], bits.astype(np.int64) << 16
+    for table, slot, levels in zip(tables, slots, LEVELS[kind]):
+        told = own + table.take(slot)
+        cell *= levels
+        cell += _LEVEL[levels].take(told)
+        seen.append(_SEEN_WITHOUT.take(told))
+    return (_gate(0, seen[-2], seen[-1]) * CELLS + cell) * 2 + bits
+
+
+def _histogram(kind: int, choices, codes, tables):
+    """Counts of all choices by cell, those of letters behind those of words."""
     def run(batches):
-        symbols = held.value
-        for batch in batches:
-            for part in W.blocks(batch, "text", 4 << 20):
-                data, off = W.utf8(part.column(1))
-                ws, we, first = W.word_spans(data, off)
-                symbol, topic, _ = symbols.read(W.word_hashes(data, ws, we, fold=True).view(np.int64), first)
-                code, n = np.unique(topic * (symbols.escape + 1) + symbol, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["pair", "n"])
+        counts = np.zeros(2 * CLASSES * CLASSES * CELLS, np.int64)
+        for batch in _merged(batches):
+            slots, bits, n = choices(*codes.value, batch)
+            np.add.at(counts, _cells(kind, tables.value[kind], slots, bits), n)
+        hit = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(hit + kind * len(counts)), pa.array(counts[hit])], names=["cell", "n"])
+    return run
+
+
+def _pairs(codes):
+    def run(batches):
+        symbols, _ = codes.value
+        for column in _parts(batches):
+            data, off = W.utf8(column)
+            ws, we, first = W.word_spans(data, off)
+            symbol, topic, _ = symbols.read(W.word_hashes(data, ws, we, fold=True).view(np.int64), first)
+            code, n = np.unique(topic * (symbols.escape + 1) + symbol, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["pair", "n"])
     return run
 
 
@@ -353,74 +439,82 @@ def _gathered(filled: DataFrame, bits: tuple[int, ...]) -> list[np.ndarray]:
     return counts
 
 
-def _fit_gates(symbols: Symbols, letters: Code, node: np.ndarray, topic: np.ndarray, tables: list[np.ndarray], texts: list[str]) -> np.ndarray:
-    """Weights of each gate by gradient steps over the choices of one document after the other."""
-    gates = np.full((2 * CLASSES * CLASSES, INPUTS + 1), 0.5, np.float32)
-    gates[:, -1] = 0
-    scale = np.full_like(gates, 1e-3)
-
-    def others(table, slot, bits):
-        return np.maximum(table[0][slot] - (bits == 0), 0), np.maximum(table[1][slot] - (bits == 1), 0)
-
-    def learn(counts, kind, bits):
-        odds, seen = [_log_odds(*c) for c in counts], [_evidence(*c) for c in counts]
-        gate = _gate(kind, seen[-2], seen[-1])
-        x = np.column_stack([*odds, *[np.zeros(len(bits))] * (INPUTS - len(odds)), np.ones(len(bits))]).astype(np.float32)
-        error = bits - 1 / (1 + np.exp(-np.einsum("ij,ij->i", x, gates[gate])))
-        grad = np.stack([np.bincount(gate, weights=error * x[:, k], minlength=len(gates)) for k in range(x.shape[1])], axis=1)
-        scale[:] += grad ** 2
-        gates[:] += (0.1 * grad / np.sqrt(scale)).astype(np.float32)
-
-    for _ in range(2):
-        for text in texts:
-            data, off = W.utf8(pa.array([text], pa.string()))
-            ws, we, first = W.word_spans(data, off)
-            h = W.word_hashes(data, ws, we, fold=True).view(np.int64)
-            symbol, before, _ = symbols.read(h, first)
-            _, nodes, slot, bits = _topic_slots(symbols.code, before, symbol)
-            learn([others(node, nodes, bits), others(topic, slot, bits)], 0, bits)
-            rare = np.flatnonzero(symbol == symbols.escape)
-            if len(rare):
-                _, slots, bits = _letters(letters, data, ws[rare], we[rare])
-                learn([others(t, s, bits) for t, s in zip(tables, slots)], 1, bits)
-    return gates
-
-
-def train(docs: DataFrame, counted: DataFrame, total: int) -> Model:
-    """Fit on ``docs`` (doc_id, text), whose word counts (word, n) are given; the end is counted as a word."""
-    def hashed(batches):
-        for batch in _merged(batches):
-            data, ws, we, n = _words_of(batch)
-            yield pa.RecordBatch.from_arrays([pa.array(W.word_hashes(data, ws, we, fold=True).view(np.int64)), batch.column(1)], names=["hash", "n"])
-
+def _fit_gates(cell: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Weights of each gate that code the choices of the histograms best: Newton's method, shorter steps where one made it worse."""
+    gate, place = np.divmod(cell >> 1, CELLS)
+    sign = 2.0 * (cell & 1) - 1
+    x = np.zeros((len(cell), INPUTS + 1))
+    x[:, -1] = 1
+    for kind, levels in enumerate(LEVELS):
+        own = np.flatnonzero(gate // (CLASSES * CLASSES) == kind)
+        rest = place[own]
+        for k in reversed(range(len(levels))):
+            rest, level = np.divmod(rest, levels[k])
+            x[own, k] = (level + 0.5) * (2 * BOUND / levels[k]) - BOUND
+    x *= sign[:, None]                                                 # log odds towards what was chosen
+    size = 2 * CLASSES * CLASSES
+    start = np.full((size, INPUTS + 1), 0.5)
+    start[:, -1] = 0
+    gates = start.copy()
+
+    def summed(values: np.ndarray) -> np.ndarray:
+        return np.bincount(gate, weights=values, minlength=size)
+
+    def cost(own: np.ndarray) -> np.ndarray:
+        return summed(n * np.logaddexp(0, -np.einsum("ij,ij->i", x, own[gate]))) + PRIOR / 2 * ((own - start) ** 2).sum(axis=1)
+
+    now = cost(gates)
+    for _ in range(STEPS):
+        miss = 1 / (1 + np.exp(np.einsum("ij,ij->i", x, gates[gate])))
+        grad = np.stack([summed(n * miss * x[:, k]) for k in range(INPUTS + 1)], axis=1) - PRIOR * (gates - start)
+        curve = n * miss * (1 - miss)
+        bend = np.stack([[summed(curve * x[:, j] * x[:, k]) for k in range(INPUTS + 1)] for j in range(INPUTS + 1)]).transpose(2, 0, 1)
+        move = np.linalg.solve(bend + PRIOR * np.eye(INPUTS + 1), grad[:, :, None])[:, :, 0]
+        for _ in range(HALVINGS):
+            then = cost(gates + move)
+            worse = then > now
+            if not worse.any():
+                break
+            move[worse] /= 2
+        move[worse] = 0
+        gates += move
+        now = np.where(worse, now, then)
+    return gates.astype(np.float32)
+
+
+def train(docs: DataFrame, counted: DataFrame, total: int):
+    """(codes, tables, gate weights) fitted on ``docs`` (text), whose word counts (word, hash, n) are given; the end is counted as a word.
+
+    Codes (the Symbols, and the Code of bytes) and tables (of words' and of letters' predictors) are broadcast.
+    """
     def bytes_of(batches):
         sums = np.zeros(256)
         for batch in _merged(batches):
-            data, ws, we, n = _words_of(batch)
-            sums += np.bincount(data, weights=np.repeat(n, we - ws), minlength=256)
+            (data, off), n = W.utf8(batch.column(0)), batch.column(2).to_numpy()
+            sums += np.bincount(data, weights=np.repeat(n, np.diff(off)), minlength=256)
             sums[0x20] += n.sum()
         yield pa.RecordBatch.from_pydict({"byte": pa.array(np.arange(256)), "n": pa.array(sums)})
 
-    often = {r["hash"]: r["n"] for r in counted.mapInArrow(hashed, "hash long, n long").filter((F.col("n") * FREQUENT >= total) & (F.col("n") >= SEEN)).collect()}
+    often = {r["hash"]: r["n"] for r in counted.select("hash", "n").filter((F.col("n") * FREQUENT >= total) & (F.col("n") >= SEEN)).collect()}
     often.setdefault(END_HASH, 0)
     symbols = Symbols(np.array(list(often), np.int64), np.array(list(often.values()), np.int64), total)
-    held = docs.sparkSession.sparkContext.broadcast(symbols)
-    pairs = store(docs.mapInArrow(task(_pairs(held)), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     histogram = {r["byte"]: r["n"] for r in counted.mapInArrow(bytes_of, "byte long, n double").groupBy("byte").agg(F.sum("n").alias("n")).collect()}
-    letters = Code(np.array([histogram.get(i, 0) for i in range(256)]))
-    tables = _gathered(counted.coalesce(TABLE_TASKS).mapInArrow(task(_letter_tables(letters, symbols.hashes)), "part int, counts binary"), SLOT_BITS)
-    topic, = _gathered(pairs.coalesce(TABLE_TASKS).mapInArrow(task(_topic_tables(symbols)), "part int, counts binary"), (TOPIC_SLOT_BITS,))
+    sc = docs.sparkSession.sparkContext
+    codes = sc.broadcast((symbols, Code(np.array([histogram.get(i, 0) for i in range(256)]))))
+    pairs = store(docs.select("text").mapInArrow(task(_pairs(codes)), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs").coalesce(TABLE_TASKS)
+    counted = counted.coalesce(TABLE_TASKS)
+    letters = [_told(*x) for x in _gathered(counted.mapInArrow(task(_letter_tables(codes)), "part int, counts binary"), SLOT_BITS)]
+    topic, = _gathered(pairs.mapInArrow(task(_topic_tables(codes)), "part int, counts binary"), (TOPIC_SLOT_BITS,))
     node = np.zeros((2, max(1, symbols.escape + 1)), np.float32)
     begins, at = symbols.code.paths(np.arange(symbols.escape + 1))
     n = np.append(symbols.counts, max(0, total - symbols.counts.sum()))
     np.add.at(node, (symbols.code.bits[at], symbols.code.nodes[at]), np.repeat(n, np.diff(begins)).astype(np.float32))
-    drawn = docs.filter("text is not null and doc_id is not null").select("doc_id", F.xxhash64(F.lit("gates"), "doc_id").alias("o")).orderBy("o", "doc_id").limit(FIT_DOCS)
-    rows = sorted(docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(drawn), F.col("id") == F.col("doc_id")).select("o", "text").collect())
-    gates = _fit_gates(symbols, letters, node, topic, tables, [r["text"] for r in rows])
-    model = Model(symbols, letters, node, topic, tables, gates)
-    del node, topic, tables
+    tables = sc.broadcast(([_told(*node), _told(*topic)], letters))
+    del node, topic, letters
     trim()
-    return model
+    parts = [rows.mapInArrow(task(_histogram(kind, choices, codes, tables)), "cell long, n long") for kind, (rows, choices) in enumerate(((pairs, _topic_choices), (counted, _letter_choices)))]
+    cells = parts[0].unionAll(parts[1]).groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toArrow()
+    return codes, tables, _fit_gates(*(cells.column(c).to_numpy() for c in ("cell", "n")))
 
 
 def score(docs: DataFrame, train_docs: DataFrame) -> DataFrame:
@@ -434,23 +528,16 @@ def score(docs: DataFrame, train_docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     docs, train_docs = (d.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) for d in (docs, train_docs))
-    ends = train_docs.groupBy().agg(F.count("*").alias("n")).filter("n > 0").select(F.lit(END.decode()).alias("word"), "n")
+    ends = train_docs.groupBy().agg(F.count("*").alias("n")).filter("n > 0").select(F.lit(END.decode()).alias("word"), F.lit(END_HASH).alias("hash"), "n")
     counted = store(word_counts(train_docs).unionAll(ends), "word_counts")
     total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    model = train(train_docs, counted, total)
-
-    def hashed(batches):
-        for batch in _merged(batches):
-            data, ws, we, _ = _words_of(batch)
-            yield pa.RecordBatch.from_arrays([pa.array(W.word_hashes(data, ws, we, fold=True).view(np.int64)), batch.column(1)], names=["hash", "n"])
+    codes, tables, gates = train(train_docs, counted, total)
 
-    table = counted.mapInArrow(hashed, "hash long, n long")
     number = docs.withColumn("row", F.monotonically_increasing_id())
     divisor = total + 0.1 * (distinct + 1)
-    held = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        own = held.value
+        own = Model(*codes.value, *tables.value, gates)
         logs = np.append(np.log10((own.symbols.counts + 0.1) / divisor), 0.0)
         counts = np.append(own.symbols.counts, 0)
         for batch in batches:
@@ -470,9 +557,9 @@ def score(docs: DataFrame, train_docs: DataFrame) -> DataFrame:
                     names=["doc_id", "row", "n_tokens", "n_often", "base", "rest", "score", "bytes"])
 
     scored = store(number.mapInArrow(task(run), "doc_id long, row long, n_tokens long, n_often long, base double, rest array<long>, score double, bytes long"), "scored")
-    rest = (scored.select("row", F.explode("rest").alias("hash")).groupBy("row", "hash").agg(F.count("*").alias("times"))
-            .join(table.hint("shuffle_hash"), "hash", "left").groupBy("row")
-            .agg(F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.1) / F.lit(divisor))).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("n_more")))
+    known = F.coalesce("n", F.lit(0))
+    rest = (scored.select("row", F.explode("rest").alias("hash")).join(counted.select("hash", "n").hint("shuffle_hash"), "hash", "left").groupBy("row")
+            .agg(F.sum(F.log10((known + 0.1) / F.lit(divisor))).alias("more"), F.count_if(known > 0).alias("n_more")))
     return (scored.join(rest, "row", "left")
             .select("doc_id", "n_tokens", (F.col("n_often") + F.coalesce("n_more", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
                     (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score",

@@ -117,6 +117,37 @@ def test_lm_base_score_and_normalisation(docs, texts, empty):
     assert lm_score.score(empty, empty).count() == 0
 
 
+def test_lm_gates_are_fitted_on_every_choice(spark, monkeypatch):
+    rows = [(i, None if i == 7 else f"Same same w{i % 90} {'rare' * (i % 3)}{i}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counted = lm_score.word_counts(docs).unionAll(spark.createDataFrame([("\n", lm_score.END_HASH, 900)], "word string, hash long, n long")).cache()
+    want = collections.Counter(w for _, t in rows for w in WORD.findall((t or "").lower()))
+    assert {r.word: r.n for r in counted.collect()} == want | {"\n": 900}
+    seen, fit = {}, lm_score._fit_gates
+    monkeypatch.setattr(lm_score, "_fit_gates", lambda cell, n: seen.update(zip(cell.tolist(), n.tolist())) or fit(cell, n))
+    codes, _, _ = lm_score.train(docs, counted, 900 + want.total())
+    symbols, letters = codes.value
+    choices = 0
+    for _, t in rows:
+        data, off = lm_score.W.utf8(pa.array([t], pa.string()))
+        ws, we, first = lm_score.W.word_spans(data, off)
+        symbol, _, _ = symbols.read(lm_score.W.word_hashes(data, ws, we, fold=True).view(np.int64), first)
+        spelt = np.flatnonzero(symbol == symbols.escape)
+        choices += int(np.diff(symbols.code.first)[symbol].sum()) + len(lm_score._letters(letters, data, ws[spelt], we[spelt])[2])
+    assert sum(seen.values()) == choices
+
+
+def test_lm_gates_code_their_choices_best():
+    rnd = np.random.default_rng(3)
+    level = rnd.integers(0, 64, (400, 2))
+    x = np.column_stack([(level + 0.5) * (2 * lm_score.BOUND / 64) - lm_score.BOUND, np.zeros(400), np.ones(400)])
+    n = np.rint(1e6 / (1 + np.exp(-x @ [0.3, 0.9, 0, -0.2]))).astype(np.int64)
+    place = 5 * lm_score.CELLS + level[:, 0] * 64 + level[:, 1]
+    gates = lm_score._fit_gates(np.concatenate([place * 2 + 1, place * 2]), np.concatenate([n, 1_000_000 - n]))
+    assert np.allclose(gates[5], [0.3, 0.9, 0.5, -0.2], atol=1e-3) and (gates[[0, 1, -1]] == [0.5, 0.5, 0.5, 0]).all()
+    assert (lm_score._fit_gates(np.zeros(0, np.int64), np.zeros(0, np.int64)) == [0.5, 0.5, 0.5, 0]).all()
+
+
 def test_code_paths_cover_all_symbols():
     code = lm_score.Code(np.array([5, 1, 1, 9]))
     assert math.isclose(sum(2.0 ** -(code.first[s + 1] - code.first[s]) for s in range(4)), 1)
