@@ -61,12 +61,13 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeated runs of three lines, or of fewer with PASSAGE words, go; a document of which no line is left goes too. ``n_chars`` follows the text."""
     rows, name = _numbered(docs)
-    key, text, empty = _fresh(), _fresh(), _fresh()
-    later = (line_dedup.remove_runs(rows.select(F.col(name).alias("doc_id"), "text"), least=PASSAGE).filter("n_removed > 0")
-             .select(F.col("doc_id").alias(key), F.col("text").alias(text), (F.col("n_removed") == F.col("n_lines")).alias(empty)))
-    joined = rows.join(later.hint("shuffle_hash"), F.col(name) == F.col(key), "left").filter(F.col(empty).isNull() | ~F.col(empty))
-    n_chars = F.when(F.col(text).isNotNull(), F.char_length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return joined.withColumns({"text": F.coalesce(text, "text"), "n_chars": n_chars}).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = _fresh()
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias(rest)
+    told = line_dedup.remove_runs(rows.select(F.col(name).alias("doc_id"), "text", others), least=PASSAGE, carry=rest)
+    told = told.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    n_chars = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col(rest)["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    new = {"text": F.col("text"), "n_chars": n_chars}
+    return told.select(*[new.get(c, F.col(rest)[c]).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

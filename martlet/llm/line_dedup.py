@@ -60,19 +60,21 @@ def later_passages(docs: DataFrame, run: int, least: int) -> DataFrame:
     return placed.join(first, "hash").filter("place > first").groupBy("doc_id").agg(F.collect_set(F.struct("at", "size")).alias("passages"))
 
 
-def remove_runs(docs: DataFrame, run: int = RUN, least: int | None = None) -> DataFrame:
+def remove_runs(docs: DataFrame, run: int = RUN, least: int | None = None, carry: str | None = None) -> DataFrame:
     """(doc_id, n_lines, n_removed, text): every row with its text less the lines of later runs.
 
-    ``docs`` has doc_id and text (a name's other columns are ignored); ``n_lines`` counts lines
+    ``docs`` has doc_id and text (a name's other columns are ignored, but the one named by ``carry``, which comes
+    back as it was, so that texts need no second join to their rows); ``n_lines`` counts lines
     with a word. Texts in which nothing repeats come back unchanged, nulls as null. Documents
     of fewer than ``run`` lines lose nothing, unless ``least`` is given: then shorter runs that
     hold ``least`` words or more count as well. Rows of one id are one document: repeated rows
     get equal results. Rows without id neither lose lines nor count as earlier. An empty
     table gives an empty result.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = [] if carry is None else [carry]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *own)
     later = later_runs(docs, run).withColumnRenamed("doc_id", "id")
-    joined = docs.join(later.hint("shuffle_hash"), F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "starts")
+    joined = docs.join(later.hint("shuffle_hash"), F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "starts", *own)
     if least is not None:
         short = later_passages(docs, run, least).withColumnRenamed("doc_id", "id")
         joined = joined.join(short.hint("shuffle_hash"), F.col("doc_id") == F.col("id"), "left").drop("id")
@@ -86,7 +88,7 @@ def remove_runs(docs: DataFrame, run: int = RUN, least: int | None = None) -> Da
     kept = let(F.array_except(F.sequence(F.lit(1), F.size("lines")), F.col("gone")), lambda at: F.array_join(F.transform(at, lambda i: F.get(F.col("lines"), i - 1)), "\n"))
     return (lines.withColumn("gone", gone)
             .select("doc_id", F.size("worded").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"),
-                    F.when(F.size("gone") > 0, kept).otherwise(F.col("text")).alias("text")))
+                    F.when(F.size("gone") > 0, kept).otherwise(F.col("text")).alias("text"), *own))
 
 
 ORACLE = """

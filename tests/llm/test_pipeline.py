@@ -78,6 +78,16 @@ def test_long_passages_of_one_or_two_lines_go(spark):
 BLANK, ALNUM = re.compile(r"[^\x20\x09-\x0D]+"), re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
 
 
+def test_lines_move_the_texts_once(spark):
+    frame = spark.createDataFrame([(i, f"w{i} a\n\nb", "en", "s", 7, i) for i in range(20)], "doc_id long, text string, lang string, source string, n_chars long, rest long")
+    got = C.drop_lines(spark, frame, "")
+    assert got.columns == frame.columns and {tuple(r) for r in got.collect()} == {tuple(r) for r in frame.collect()}
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    told = C.drop_lines(spark, frame, "")._jdf.queryExecution().explainString(mode)
+    moved = [x for x in told.split("\n\n") if re.match(r"\s*\(\d+\) Exchange", x) and re.search(r"Input \[\d+\]: .*(text|_[0-9a-f]{32})#", x)]
+    assert len(moved) == 1, moved
+
+
 def plain_lines(rows):
     """Later runs of three worded lines, or of one or two with 50 words, by trying all; rows come in order of their ids."""
     out, seen = [], set()
