@@ -118,13 +118,16 @@ FOOD, DRINK = "food", "drink"
 
 
 def _type_counts_per_order(cat: Catalog) -> DataFrame:
-    """One row per order with food / drink item counts."""
-    oi = _items(cat).where((F.col("is_food_item") == 1) | (F.col("is_drink_item") == 1))
+    """One row per order with food / drink item counts (E2, E5). Of an item's id only whether it has one is needed, so ids that
+    can't be null are neither made nor shuffled."""
     food, drink = F.col("is_food_item") == 1, F.col("is_drink_item") == 1
+    oi = _items(cat).where(food | drink).select("order_id", food.alias("_food"), drink.alias("_drink"),
+                                                F.col("order_item_id").isNotNull().alias("_has_id"))
+    food, drink, has_id = F.col("_food"), F.col("_drink"), F.col("_has_id")
     return (oi.groupBy("order_id")
-            .agg(count_when(food, F.col("order_item_id")).alias("food_count"),
+            .agg(count_when(food & has_id).alias("food_count"),
                  count_when(food).alias("food_rows"),
-                 count_when(drink, F.col("order_item_id")).alias("drink_count"),
+                 count_when(drink & has_id).alias("drink_count"),
                  count_when(drink).alias("drink_rows")))
 
 

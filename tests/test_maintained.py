@@ -181,3 +181,24 @@ def test_renamed_customers_rewrite_only_their_months(spark):
     assert propagate(target, again, f"{root}/dim", "customer_id", take) == [dt.date(2024, 4, 1)]
     assert {month for month, _ in before ^ files()} == {dt.date(2024, 4, 1)}
     assert rows(changed_keys(again, row_hashes(again, "customer_id", ["name"]), "customer_id", ["name"])) == []
+
+
+def test_type_counts_do_not_move_item_ids(spark, tmp_path):
+    from martlet.plans.queries_maintained import _corrected
+    from martlet.sources.catalog import fixture_catalog
+    tables = {"lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int", [(1, 1, 1, 1), (1, 2, 1, 2), (2, 3, 1, 1)]),
+              "part": ("p_partkey long, p_type string, p_retailprice double", [(1, "LARGE", 1.0), (2, "STANDARD", 2.0), (3, "MEDIUM", 3.0)]),
+              "orders": ("o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz", [(1, 1, 3.0, day(0)), (2, 1, 3.0, day(0))])}
+    for name, (ddl, rows) in tables.items():
+        spark.createDataFrame(rows, ddl).write.parquet(str(tmp_path / f"{name}.parquet"))
+    cat = fixture_catalog(spark, str(tmp_path))
+    assert [tuple(r) for r in M._type_counts_per_order(cat).collect()] == [(1, 2, 2, 1, 1)]
+    for batch in _corrected(cat)[1:3]:
+        plan = M._type_counts_per_order(batch.rows)._jdf.queryExecution().executedPlan().toString()
+        assert "l_orderkey" in plan and "l_suppkey" not in plan and "l_linenumber" not in plan
+
+
+def test_type_counts_leave_out_items_without_id(spark):
+    cat = catalog(spark, [], [("a", 1, 1, 1.0, 1, 1), (None, 1, 1, 1.0, 1, 0), (None, 2, 1, 1.0, 0, 1), ("b", 2, 1, 1.0, None, 0), (None, None, 1, 1.0, 1, None)])
+    got = {tuple(r) for r in M._type_counts_per_order(cat).collect()}
+    assert got == {(1, 1, 2, 1, 1), (2, 0, 0, 0, 1), (None, 0, 1, 0, 0)}
